@@ -37,7 +37,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = c * 13 % 100
     g = F.col("g")
     income, amount = F.col("person_income"), F.col("loan_amnt")
-    applications = (
+    derived = (
         orders.join(customers, "c")
         .withColumns(
             {
@@ -58,40 +58,40 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .cast("int"),
             }
         )
-        .select(
-            F.when(k % 997 == 0, 123).otherwise(18 + (k * 7 + c) % 60).cast("int").alias("person_age"),
-            "person_income",
-            _pick(c % 4, "RENT", "mortgage", "Own", "OTHER").alias("person_home_ownership"),
-            F.when(k % 37 != 0, (k * 5 % 31).cast("double")).alias("person_emp_length"),
-            _pick(
-                k % 6,
-                "PERSONAL",
-                "EDUCATION",
-                "MEDICAL",
-                "VENTURE",
-                "HOMEIMPROVEMENT",
-                "DEBTCONSOLIDATION",
-            ).alias("loan_intent"),
-            _pick(g, "A", "b", "C", "D", "E", "F", "G").alias("loan_grade"),
-            "loan_amnt",
-            F.when(k % 10 != 3, (540 + g * 250 + k * 37 % 250).cast("double") / 100).alias(
-                "loan_int_rate"
-            ),
-            F.when((k * 31 + g * 17) % 100 < 8 + g * 9, 1).otherwise(0).alias("loan_status"),
-            F.when(income > 0, F.round(F.try_divide(amount.cast("double"), income), 2)).alias(
-                "loan_percent_income"
-            ),
-            F.when(k % 211 == 4, None)
-            .when((k + g) % 5 == 0, "Y")
-            .when((k + g) % 5 == 1, "n")
-            .otherwise("N")
-            .alias("cb_person_default_on_file"),
-            F.when(k % 307 != 9, (2 + k * 3 % 13).cast("int")).alias(
-                "cb_person_cred_hist_length"
-            ),
-            F.explode(F.array_repeat(F.lit(1), F.when(k % 50 == 11, 2).otherwise(1))).alias("copy"),
-        )
-        .drop("copy")
     )
+    row = F.struct(
+        F.when(k % 997 == 0, 123).otherwise(18 + (k * 7 + c) % 60).cast("int").alias("person_age"),
+        "person_income",
+        _pick(c % 4, "RENT", "mortgage", "Own", "OTHER").alias("person_home_ownership"),
+        F.when(k % 37 != 0, (k * 5 % 31).cast("double")).alias("person_emp_length"),
+        _pick(
+            k % 6,
+            "PERSONAL",
+            "EDUCATION",
+            "MEDICAL",
+            "VENTURE",
+            "HOMEIMPROVEMENT",
+            "DEBTCONSOLIDATION",
+        ).alias("loan_intent"),
+        _pick(g, "A", "b", "C", "D", "E", "F", "G").alias("loan_grade"),
+        "loan_amnt",
+        F.when(k % 10 != 3, (540 + g * 250 + k * 37 % 250).cast("double") / 100).alias(
+            "loan_int_rate"
+        ),
+        F.when((k * 31 + g * 17) % 100 < 8 + g * 9, 1).otherwise(0).alias("loan_status"),
+        F.when(income > 0, F.round(F.try_divide(amount.cast("double"), income), 2)).alias(
+            "loan_percent_income"
+        ),
+        F.when(k % 211 == 4, None)
+        .when((k + g) % 5 == 0, "Y")
+        .when((k + g) % 5 == 1, "n")
+        .otherwise("N")
+        .alias("cb_person_default_on_file"),
+        F.when(k % 307 != 9, (2 + k * 3 % 13).cast("int")).alias("cb_person_cred_hist_length"),
+    )
+    # Repeating whole rows also keeps Catalyst from moving later filters below this point, where
+    # each would have to compute the derived columns a second time.
+    copies = F.when(k % 50 == 11, 2).otherwise(1)
+    applications = derived.select(F.inline(F.array_repeat(row, copies)))
     fit_to_input(spark, applications)
     return applications

@@ -89,13 +89,11 @@ def grade_risk(clean: DataFrame) -> DataFrame:
 
 def risk_segments(clean: DataFrame) -> DataFrame:
     """High- against low-risk borrowers: always one row per segment, from one scan."""
-    segment = F.lit(None).cast("string")
+    segment = F.lit("other")
     for label, tiers in RISK_SEGMENTS.items():
         segment = F.when(F.col("risk_tier").isin(*tiers), label).otherwise(segment)
-    every_tier = [tier for tiers in RISK_SEGMENTS.values() for tier in tiers]
     profile = (
-        clean.filter(F.col("risk_tier").isin(*every_tier))
-        .groupBy(segment.alias("segment"))
+        clean.groupBy(segment.alias("segment"))
         .agg(
             loans("total_borrowers"),
             mean("borrower_age", 1, "avg_age"),
@@ -109,7 +107,8 @@ def risk_segments(clean: DataFrame) -> DataFrame:
     labels = literal_rows(
         clean.sparkSession, "segment string", [(label,) for label in RISK_SEGMENTS]
     )
-    # The broadcast side has at most one row per segment.
+    # The broadcast side has at most three rows. The join leaves out other tiers: a filter on the
+    # tier would be moved below the dedup when the input is not yet stored, and score rows twice.
     return labels.join(F.broadcast(profile), "segment", "left").withColumn(
         "total_borrowers", F.coalesce("total_borrowers", F.lit(0))
     )

@@ -31,13 +31,13 @@ def portfolio_kpis(risk_tier_summary: DataFrame) -> DataFrame:
 
 def loan_performance(loan_purpose_analysis: DataFrame) -> DataFrame:
     """Default rates and exposure by purpose and, separately, by grade."""
-    mart = loan_purpose_analysis
+    by_purpose, by_grade = F.col("loan_purpose"), F.col("loan_grade")
     section = F.when(F.grouping("loan_grade") == 1, "loan_purpose").otherwise("loan_grade")
     category = F.when(F.grouping("loan_grade") == 1, F.col("loan_purpose")).otherwise(
         F.col("loan_grade")
     )
-    rolled = mart.groupingSets(
-        [[mart["loan_purpose"]], [mart["loan_grade"]]], mart["loan_purpose"], mart["loan_grade"]
+    rolled = loan_purpose_analysis.groupingSets(
+        [[by_purpose], [by_grade]], by_purpose, by_grade
     ).agg(
         section.alias("section"),
         category.alias("category"),
@@ -66,7 +66,6 @@ def loan_performance(loan_purpose_analysis: DataFrame) -> DataFrame:
 
 def customer_segments(borrower_demographics: DataFrame) -> DataFrame:
     """Borrowers and default rate by age group, by income tier and by home ownership."""
-    mart = borrower_demographics
     keys = ["borrower_age_group", "income_tier", "home_ownership"]
     section, category = F.lit(keys[-1]), F.col(keys[-1])
     for key in keys[:-1]:
@@ -74,7 +73,7 @@ def customer_segments(borrower_demographics: DataFrame) -> DataFrame:
         section = F.when(grouped_by_key, key).otherwise(section)
         category = F.when(grouped_by_key, F.col(key)).otherwise(category)
     return (
-        mart.groupingSets([[mart[key]] for key in keys], *[mart[key] for key in keys])
+        borrower_demographics.groupingSets([[F.col(key)] for key in keys], *map(F.col, keys))
         .agg(
             section.alias("section"),
             category.alias("category"),
@@ -94,9 +93,7 @@ def credit_analysis_page(clean: DataFrame) -> DataFrame:
     The credit mart holds no default counts, so this page comes from the loans themselves.
     """
     loans_with_bucket = clean.withColumn("dti_bucket", dti_bucket())
-    bucket, prior, tier = (
-        loans_with_bucket[name] for name in ("dti_bucket", "prior_default_on_file", "risk_tier")
-    )
+    bucket, prior, tier = map(F.col, ("dti_bucket", "prior_default_on_file", "risk_tier"))
     section = (
         F.when(F.grouping("dti_bucket") == 0, "dti_bucket")
         .when(F.grouping("prior_default_on_file") == 0, "prior_default")
