@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", app: str = "lendlens", **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(cpus),
         "spark.sql.adaptive.enabled": "true",
+        "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lendlens-"),
         **conf,
     }
@@ -38,28 +39,30 @@ def local_session(cores: int | str = "*", app: str = "lendlens", **conf: str) ->
     return spark
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a frame (file sizes after pruning), or None if unknown."""
+def estimated_bytes(table: DataFrame) -> int:
+    """Catalyst's size of a scanned table after column pruning; 0 where it cannot be asked.
+
+    Meant for stored tables: for a join the estimate is the product of its sides.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # Spark Connect has no local plan to ask
-        return None
+        return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # Spark Connect
+        return 0
 
 
-def fit_to_input(spark: SparkSession, df: DataFrame) -> None:
-    """Raise (never lower) the shuffle width and the scan split for the frame about to be shuffled.
+def fit_to_input(spark: SparkSession, *tables: DataFrame, growth: float = 3) -> None:
+    """Raise (never lower) the shuffle width and the scan split for the tables to be shuffled.
 
     AQE can merge small shuffle partitions but cannot split an aggregation's, so the starting
     number has to grow with the data. Very large inputs get larger scan splits instead of ever
-    more map tasks, because shuffle blocks number maps x reducers.
+    more map tasks, because shuffle blocks number maps x reducers. ``growth`` is the size of the
+    shuffled rows relative to the stored (compressed) columns.
     """
-    size = estimated_bytes(df)
-    if size is None:
-        return
-    wanted = min(math.ceil(size / TARGET_SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    stored = sum(map(estimated_bytes, tables))
+    wanted = min(math.ceil(stored * growth / TARGET_SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    split = math.ceil(size / MAX_SCAN_TASKS)
+    split = math.ceil(stored / MAX_SCAN_TASKS)
     untouched = spark.conf.get(SPLIT_CONF).lower() in ("128mb", "134217728", "134217728b")
     if split > DEFAULT_SPLIT_BYTES and untouched:
         spark.conf.set(SPLIT_CONF, str(split))
