@@ -22,7 +22,6 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = spark.read.schema(ORDER_SCHEMA).parquet(f"{sf_dir}/orders.parquet")
     customers = spark.read.schema(CUSTOMER_SCHEMA).parquet(f"{sf_dir}/customer.parquet")
-    fit_to_input(spark, orders, customers)
     keyed = orders.selectExpr("o_orderkey AS k", "o_custkey AS c", "o_totalprice AS p").join(
         customers.selectExpr("c_custkey AS c", "c_acctbal AS b"), "c"
     )
@@ -39,7 +38,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Repeating whole rows also keeps Catalyst from moving later filters below this point, where
     # each would have to compute the derived columns a second time.
-    return derived.selectExpr(
+    loans = derived.selectExpr(
         """inline(array_repeat(named_struct(
              'person_age', CASE WHEN k % 997 = 0 THEN 123 ELSE int(18 + (7 * k + c) % 60) END,
              'person_income', income,
@@ -59,3 +58,4 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
              'cb_person_cred_hist_length', CASE WHEN k % 307 <> 9 THEN int(2 + 3 * k % 13) END
            ), CASE WHEN k % 50 = 11 THEN 2 ELSE 1 END))"""
     )
+    return fit_to_input(loans)

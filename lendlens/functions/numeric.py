@@ -14,6 +14,20 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """``F.round`` for a double column, several times faster, with the same result for every value.
+
+    ``F.round`` goes through a decimal object per value, which dominates the cost of scoring. Away
+    from a tie and below 1e9 (after scaling) plain arithmetic is certain to pick the same
+    neighbour: scaling errors stay under 1e-6. Everything else, NaN and NULL too, takes ``F.round``.
+    """
+    scale = 10.0**digits
+    scaled = value * F.lit(scale)
+    from_tie = F.abs(scaled - F.floor(scaled) - F.lit(0.5))
+    certain = (F.abs(scaled) < 1e9) & (from_tie > 1e-6)
+    return F.when(certain, F.floor(scaled + 0.5) / F.lit(scale)).otherwise(F.round(value, digits))
+
+
 def stable_round(value: Column, digits: int) -> Column:
     """Round an aggregate half up, independent of the order its doubles were summed in.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.functions.numeric import bucketize
+from lendlens.functions.numeric import bucketize, round_half_up
 from lendlens.schema import CLEAN_AGE_RANGE, CLEAN_COLUMNS, DTI_BUCKETS, OUTCOME_LABELS
 
 
@@ -23,13 +23,13 @@ def clean_layer(scored: DataFrame) -> DataFrame:
         "annual_income": F.round("person_income", 2),
         "employment_years": F.col("person_emp_length"),
         "loan_amount": F.col("loan_amnt"),
-        "interest_rate": F.round("loan_int_rate", 2),
+        "interest_rate": round_half_up(F.col("loan_int_rate"), 2),
         "loan_purpose": F.initcap("loan_intent"),
         "loan_grade": F.upper("loan_grade"),
-        "loan_percent_income": F.round("loan_percent_income", 4),
-        "debt_to_income_ratio": F.round("debt_to_income_ratio", 2),
-        "loan_to_income_ratio": F.round("loan_to_income_ratio", 4),
-        "annual_interest_burden": F.round("annual_interest_burden", 2),
+        "loan_percent_income": round_half_up(F.col("loan_percent_income"), 4),
+        "debt_to_income_ratio": round_half_up(F.col("debt_to_income_ratio"), 2),
+        "loan_to_income_ratio": round_half_up(F.col("loan_to_income_ratio"), 4),
+        "annual_interest_burden": round_half_up(F.col("annual_interest_burden"), 2),
         "credit_history_years": F.col("cb_person_cred_hist_length"),
         "prior_default_on_file": F.upper("cb_person_default_on_file"),
         "loan_outcome": F.when(F.col("loan_status") == 1, OUTCOME_LABELS[1]).otherwise(
@@ -48,4 +48,4 @@ def dti_bucket() -> Column:
 
 def score_band() -> Column:
     """Ten-point band around a multiple of ten: band 30 is [25, 35)."""
-    return F.round(F.col("risk_score") / 10) * 10
+    return round_half_up(F.col("risk_score") / 10, 0) * 10

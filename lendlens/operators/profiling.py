@@ -10,42 +10,58 @@ from lendlens.functions.numeric import ratio, stable_round
 from lendlens.schema import NULL_ALERT_PCT, QUALITY_LABELS
 from lendlens.sources.constants import literal_rows
 
+LANES = {"whole": "bigint", "number": "double", "text": "string"}
+
 
 def _column_list(df: DataFrame) -> DataFrame:
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
     return literal_rows(df.sparkSession, "position int, column_name string, type string", rows)
 
 
+def _cells(df: DataFrame) -> DataFrame:
+    """One row per cell: the column's position, and the value in the lane of its type."""
+    cells = []
+    for position, field in enumerate(df.schema.fields):
+        kind = "string"
+        if isinstance(field.dataType, T.IntegralType):
+            kind = "bigint"
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            kind = "double"
+        lanes = [
+            (F.col(field.name) if lane_kind == kind else F.lit(None)).cast(lane_kind).alias(lane)
+            for lane, lane_kind in LANES.items()
+        ]
+        cells.append(F.struct(F.lit(position).alias("position"), *lanes))
+    return df.select(F.inline(F.array(*cells)))
+
+
 def quality_profile(df: DataFrame) -> DataFrame:
     """Per column: type, NULL count and share, distinct values (NULL is one), status.
 
-    One scan for all columns. Cells are unpivoted to (column, value) and counted; the first
-    count combines within each map task, so only distinct values are shuffled, however often
-    one of them repeats. Both NULL count and distinct count follow from the counted values.
+    One scan for all columns. Cells are counted per (column, value); the count combines within
+    each map task, so only distinct values are shuffled, however often one of them repeats. Both
+    the NULL count and the distinct count follow from the counted values.
     """
-    as_text = [
-        (F.col(f.name) + F.lit(0.0) if isinstance(f.dataType, T.DoubleType) else F.col(f.name))
-        .cast("string")
-        .alias(f.name)
-        for f in df.schema.fields
-    ]
-    values = (
-        df.select(*as_text)
-        .unpivot([], df.columns, "column_name", "value")
-        .groupBy("column_name", "value")
+    is_null = F.lit(True)
+    for lane in LANES:
+        is_null = is_null & F.col(lane).isNull()
+    per_column = (
+        _cells(df)
+        .groupBy("position", *LANES)
         .agg(F.count("*").alias("n"))
-    )
-    per_column = values.groupBy("column_name").agg(
-        F.sum("n").alias("total"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-        F.count("*").alias("distinct_values"),
+        .groupBy("position")
+        .agg(
+            F.sum("n").alias("total"),
+            F.sum(F.when(is_null, F.col("n")).otherwise(0)).alias("nulls"),
+            F.count("*").alias("distinct_values"),
+        )
     )
     null_pct = stable_round(ratio(F.col("nulls"), F.col("total")) * 100, 2)
     good, alert = QUALITY_LABELS
     # The broadcast side has one row per column; the list keeps columns of an empty frame.
     return (
         _column_list(df)
-        .join(F.broadcast(per_column), "column_name", "left")
+        .join(F.broadcast(per_column), "position", "left")
         .select(
             "position",
             "column_name",

@@ -31,8 +31,7 @@ def register_scored(scored: DataFrame, name: str = SCORED_VIEW) -> None:
 
 def run_pipeline(raw: DataFrame, store: LayerStore, model: ScoreModel = DEFAULT_MODEL) -> None:
     """Write every layer. The dedup runs once; later layers read the written one before them."""
-    fit_to_input(store.spark, raw)
-    loaded = store.load_raw(score_loans(raw, model))
+    loaded = store.load_raw(score_loans(fit_to_input(raw), model))
     clean_loans = store.replace("clean", LOANS, clean_layer(loaded))
     for name, mart in MARTS.items():
         store.replace("analytics", name, mart(clean_loans))

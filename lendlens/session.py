@@ -39,26 +39,28 @@ def local_session(cores: int | str = "*", app: str = "lendlens", **conf: str) ->
     return spark
 
 
-def estimated_bytes(table: DataFrame) -> int:
-    """Catalyst's size of a scanned table after column pruning; 0 where it cannot be asked.
+def input_bytes(df: DataFrame) -> int:
+    """Catalyst's total size of the tables a frame reads; 0 where it cannot be asked.
 
-    Meant for stored tables: for a join the estimate is the product of its sides.
+    The estimate of the whole plan would not do: for a join it is the product of both sides.
     """
     try:
-        return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        tables = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     except AttributeError:  # Spark Connect
         return 0
+    return sum(int(str(tables.apply(i).stats().sizeInBytes())) for i in range(tables.size()))
 
 
-def fit_to_input(spark: SparkSession, *tables: DataFrame, growth: float = 3) -> None:
-    """Raise (never lower) the shuffle width and the scan split for the tables to be shuffled.
+def fit_to_input(df: DataFrame, growth: float = 3) -> DataFrame:
+    """Raise (never lower) the session's shuffle width and scan split for a frame to be shuffled.
 
     AQE can merge small shuffle partitions but cannot split an aggregation's, so the starting
     number has to grow with the data. Very large inputs get larger scan splits instead of ever
     more map tasks, because shuffle blocks number maps x reducers. ``growth`` is the size of the
     shuffled rows relative to the stored (compressed) columns.
     """
-    stored = sum(map(estimated_bytes, tables))
+    spark = df.sparkSession
+    stored = input_bytes(df)
     wanted = min(math.ceil(stored * growth / TARGET_SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
@@ -66,6 +68,7 @@ def fit_to_input(spark: SparkSession, *tables: DataFrame, growth: float = 3) ->
     untouched = spark.conf.get(SPLIT_CONF).lower() in ("128mb", "134217728", "134217728b")
     if split > DEFAULT_SPLIT_BYTES and untouched:
         spark.conf.set(SPLIT_CONF, str(split))
+    return df
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

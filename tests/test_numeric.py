@@ -1,9 +1,16 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from lendlens.functions.numeric import bucketize, fold_nan, ratio, stable_round
+from lendlens.functions.numeric import (
+    bucketize,
+    fold_nan,
+    ratio,
+    round_half_up,
+    stable_round,
+)
 from lendlens.schema import AGE_GROUPS, DTI_BUCKETS, INCOME_TIERS, LOAN_SIZES, RISK_TIERS
 
 BOUNDARIES = [
@@ -51,3 +58,22 @@ def test_fold_nan(spark):
     frame = spark.createDataFrame([(float("nan"), 1, "x"), (2.0, 2, None)], "d double, i int, s string")
     assert [tuple(r) for r in fold_nan(frame).orderBy("i").collect()] == [(None, 1, "x"), (2.0, 2, None)]
     assert fold_nan(frame).dtypes == frame.dtypes
+
+
+def test_round_half_up_equals_round(spark):
+    rng = random.Random(7)
+    values = [0.0, -0.0, 0.5, -0.5, 2.5, 2.675, 8.245, 1.005, -1.005, 1e-9, 5e8, 1e9, 1e15, 4e300]
+    values += [float("nan"), float("inf"), float("-inf"), None, 0.49999999999999994, -1e-3]
+    for digits in (0, 1, 2, 4):
+        ties = [(rng.randrange(-(10**8), 10**8) + 0.5) / 10**digits for _ in range(2000)]
+        values += ties
+        values += [math.nextafter(t, math.inf) for t in ties]
+        values += [math.nextafter(t, -math.inf) for t in ties]
+    values += [rng.uniform(-1e6, 1e6) for _ in range(5000)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-12, 14) for _ in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 1, 2, 4):
+        ours, spark_round = round_half_up(F.col("x"), digits), F.round("x", digits)
+        assert frame.filter(~ours.eqNullSafe(spark_round)).count() == 0
+        assert frame.select(ours.cast("string").alias("s")).filter("s = '-0.0'").count() == 0
+        assert frame.filter(spark_round.cast("string") == "-0.0").count() == 0

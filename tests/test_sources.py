@@ -6,9 +6,10 @@ from lendlens.operators.verify import load_checks
 from lendlens.plans import marts
 from lendlens.plans.pipeline import run_pipeline, score_loans
 from lendlens.schema import RAW_COLUMNS, RAW_SCHEMA
-from lendlens.session import fit_to_input, scratch_dir
+from lendlens.session import fit_to_input, input_bytes, scratch_dir
 from lendlens.sources.csv import read_loans_csv, write_loans_csv
 from lendlens.sources.layers import LayerStore
+from tests.conftest import SF_DIR
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -129,19 +130,27 @@ def test_scratch_dir_needs_a_shared_folder_off_local_mode(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
-def test_shuffle_width_grows_with_the_input(spark, monkeypatch):
+def test_shuffle_width_grows_with_the_input(spark, raw, monkeypatch):
     from lendlens import session
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
     split = spark.conf.get(session.SPLIT_CONF)
     try:
-        monkeypatch.setattr(session, "estimated_bytes", lambda table: 10 * session.MB)
-        fit_to_input(spark, None)
+        fit_to_input(raw)
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        monkeypatch.setattr(session, "estimated_bytes", lambda table: 100 * session.MB**2)
-        fit_to_input(spark, None)
+        monkeypatch.setattr(session, "input_bytes", lambda df: 100 * session.MB**2)
+        assert fit_to_input(raw) is raw
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 50_000
         assert int(spark.conf.get(session.SPLIT_CONF)) > 1_000 * session.MB
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set(session.SPLIT_CONF, split)
+
+
+def test_input_size_is_the_sum_of_the_tables(spark):
+    path = f"{SF_DIR}/orders.parquet"
+    stored = os.path.getsize(path)
+    orders = spark.read.parquet(path)
+    assert input_bytes(orders) == stored
+    joined = orders.alias("a").join(orders.alias("b"), "o_orderkey").groupBy("o_orderkey").count()
+    assert input_bytes(joined) <= 2 * stored
