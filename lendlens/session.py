@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 MB = 1024 * 1024
 TARGET_SHUFFLE_BYTES = 256 * MB
-MAX_SHUFFLE_PARTITIONS = 50_000
-MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 100_000
+UNKNOWN_BYTES = 2**62  # Catalyst reports about this much for a table it cannot size
+MAX_SCAN_TASKS = 200_000
 SPLIT_CONF = "spark.sql.files.maxPartitionBytes"
 DEFAULT_SPLIT_BYTES = 128 * MB
 
@@ -48,7 +49,8 @@ def input_bytes(df: DataFrame) -> int:
         tables = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     except AttributeError:  # Spark Connect
         return 0
-    return sum(int(str(tables.apply(i).stats().sizeInBytes())) for i in range(tables.size()))
+    sizes = [int(str(tables.apply(i).stats().sizeInBytes())) for i in range(tables.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def fit_to_input(df: DataFrame, growth: float = 3) -> DataFrame:

@@ -91,17 +91,21 @@ class SnapshotTable:
         self, condition: Column, as_of: Version, committed_at: datetime | None = None
     ) -> Version:
         """Append the matching rows of an earlier version, whether or not they are still there."""
-        return self._append("restore", self.read(as_of).filter(condition), committed_at)
+        rows = self.read(as_of).filter(condition)
+        return self._append("restore", self.latest(), rows, committed_at)
 
     def restore_missing(
         self, condition: Column, as_of: Version, committed_at: datetime | None = None
     ) -> Version:
         """Append only those matching rows (and copies) that the latest version lacks."""
-        earlier, now = self.read(as_of).filter(condition), self.read().filter(condition)
-        return self._append("restore missing", bag_difference(earlier, now), committed_at)
-
-    def _append(self, operation: str, rows: DataFrame, committed_at: datetime | None) -> Version:
         latest = self.latest()
+        earlier, now = (self.read(version).filter(condition) for version in (as_of, latest))
+        rows = bag_difference(earlier, now)
+        return self._append("restore missing", latest, rows, committed_at)
+
+    def _append(
+        self, operation: str, latest: Version, rows: DataFrame, committed_at: datetime | None
+    ) -> Version:
         commit_id = uuid.uuid4().hex
         segments = [*latest.segments, *self._write(rows, commit_id)]
         return self._commit(latest.number + 1, operation, commit_id, segments, committed_at)

@@ -2,9 +2,10 @@ import os
 
 import pytest
 
+from lendlens.__main__ import main
 from lendlens.operators.verify import load_checks
 from lendlens.plans import marts
-from lendlens.plans.pipeline import run_pipeline, score_loans
+from lendlens.plans.pipeline import register_scored, run_pipeline, score_loans
 from lendlens.schema import RAW_COLUMNS, RAW_SCHEMA
 from lendlens.session import fit_to_input, input_bytes, scratch_dir
 from lendlens.sources.csv import read_loans_csv, write_loans_csv
@@ -102,6 +103,20 @@ def test_tables_are_visible_to_sql(spark, raw):
     assert row.N == 102
 
 
+def test_scored_view(spark, scored):
+    register_scored(scored)
+    assert spark.sql("SELECT count(*) AS n FROM loans_scored").first().n == 1342
+
+
+def test_command_line_run(spark, raw, capsys):
+    folder = scratch_dir(spark, "cli")
+    write_loans_csv(raw, f"{folder}/csv")
+    main([f"{folder}/csv", f"{folder}/layers", "--databases", "t2_"], spark)
+    assert spark.table("t2_clean.loan_applications").count() == 1342
+    assert spark.table("t2_analytics.loan_purpose_analysis").count() > 0
+    assert "clean row count" in capsys.readouterr().out
+
+
 def test_file_size_option_and_unknown_layer(spark, raw):
     store = LayerStore(spark, scratch_dir(spark, "layers"))
     store.load_raw(score_loans(raw), max_records_per_file=100)
@@ -140,8 +155,8 @@ def test_shuffle_width_grows_with_the_input(spark, raw, monkeypatch):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
         monkeypatch.setattr(session, "input_bytes", lambda df: 100 * session.MB**2)
         assert fit_to_input(raw) is raw
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 50_000
-        assert int(spark.conf.get(session.SPLIT_CONF)) > 1_000 * session.MB
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 100_000
+        assert int(spark.conf.get(session.SPLIT_CONF)) > 500 * session.MB
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set(session.SPLIT_CONF, split)
@@ -154,3 +169,4 @@ def test_input_size_is_the_sum_of_the_tables(spark):
     assert input_bytes(orders) == stored
     joined = orders.alias("a").join(orders.alias("b"), "o_orderkey").groupBy("o_orderkey").count()
     assert input_bytes(joined) <= 2 * stored
+    assert input_bytes(spark.createDataFrame([(1,)], "x int")) < 2**40
