@@ -5,11 +5,11 @@ A rate is rolled up as total defaults over total loans, never as an average of r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lendlens.functions.measures import loans, mean, rate_pct, share_pct
+from lendlens.functions.measures import loans, share_pct
 from lendlens.functions.numeric import ratio, stable_round
 from lendlens.operators.clean_layer import dti_bucket
 from lendlens.schema import RISK_SEGMENTS
@@ -90,21 +90,31 @@ def customer_segments(borrower_demographics: DataFrame) -> DataFrame:
 def credit_analysis_page(clean: DataFrame) -> DataFrame:
     """By DTI bucket, by prior default and tier, and by tier: one scan of the CLEAN relation.
 
-    The credit mart holds no default counts, so this page comes from the loans themselves.
+    The credit mart holds no default counts, so this page comes from the loans themselves. They
+    are summed once by all three keys; the three groupings then only expand those few sums.
     """
-    loans_with_bucket = clean.withColumn("dti_bucket", dti_bucket())
+    measures = ["default_flag", "risk_score", "loan_amount"]
+    sums = clean.groupBy(
+        dti_bucket().alias("dti_bucket"), "prior_default_on_file", "risk_tier"
+    ).agg(
+        loans("n"),
+        *[F.sum(name).alias(f"{name}_sum") for name in measures],
+        *[F.count(name).alias(f"{name}_n") for name in measures],
+    )
     bucket, prior, tier = map(F.col, ("dti_bucket", "prior_default_on_file", "risk_tier"))
     section = (
         F.when(F.grouping("dti_bucket") == 0, "dti_bucket")
         .when(F.grouping("prior_default_on_file") == 0, "prior_default")
         .otherwise("risk_tier")
     )
-    return loans_with_bucket.groupingSets(
-        [[bucket], [prior, tier], [tier]], bucket, prior, tier
-    ).agg(
+
+    def average(name: str) -> Column:
+        return ratio(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+
+    return sums.groupingSets([[bucket], [prior, tier], [tier]], bucket, prior, tier).agg(
         section.alias("section"),
-        loans(),
-        rate_pct(),
-        mean("risk_score", 1, "avg_risk_score"),
-        mean("loan_amount", 2, "avg_loan_amount"),
+        F.sum("n").alias("total_loans"),
+        stable_round(average("default_flag") * 100, 2).alias("default_rate_pct"),
+        stable_round(average("risk_score"), 1).alias("avg_risk_score"),
+        stable_round(average("loan_amount"), 2).alias("avg_loan_amount"),
     )

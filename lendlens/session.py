@@ -80,7 +80,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lendlens-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

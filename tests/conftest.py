@@ -9,7 +9,7 @@ from harness.loans import raw_loans  # noqa: E402
 from lendlens.plans.pipeline import score_loans  # noqa: E402
 from lendlens.operators.clean_layer import clean_layer  # noqa: E402
 from lendlens.schema import RAW_SCHEMA  # noqa: E402
-from lendlens.session import local_session  # noqa: E402
+from lendlens.session import local_session, scratch_dir  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -47,16 +47,23 @@ def make_loans(spark):
     return make
 
 
+def stored(spark, df, name):
+    """Written, not cached: Spark would put a cached result into other queries' plans."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @pytest.fixture(scope="session")
 def raw(spark):
-    return raw_loans(spark, SF_DIR).cache()
+    return stored(spark, raw_loans(spark, SF_DIR), "raw")
 
 
 @pytest.fixture(scope="session")
-def scored(raw):
-    return score_loans(raw).cache()
+def scored(spark, raw):
+    return stored(spark, score_loans(raw), "scored")
 
 
 @pytest.fixture(scope="session")
-def clean(scored):
-    return clean_layer(scored).cache()
+def clean(spark, scored):
+    return stored(spark, clean_layer(scored), "clean")

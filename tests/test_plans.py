@@ -25,28 +25,24 @@ def store(spark, raw):
     return layers
 
 
-@pytest.fixture(scope="module")
-def stored_raw(spark, raw):
-    path = scratch_dir(spark, "raw")
-    raw.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def test_scoring_shuffles_once_and_filters_first(stored_raw):
-    text = plan(score_loans(stored_raw))
+def test_scoring_shuffles_once_and_filters_first(raw):
+    text = plan(score_loans(raw))
     assert text.count("Exchange") == 1
+    # Copies combine before the shuffle: one aggregate above it and one below.
+    above, below = text.split("Exchange")
+    assert above.count("HashAggregate") == below.count("HashAggregate") == 1
     assert text.index("Exchange") < text.index("Filter")
     assert "PushedFilters: [IsNotNull(person_age)" in text
 
 
-def test_funnel_needs_one_row_level_shuffle(stored_raw):
-    text = plan(cleaning.clean_funnel(stored_raw))
+def test_funnel_needs_one_row_level_shuffle(raw):
+    text = plan(cleaning.clean_funnel(raw))
     assert text.count("FileScan") == 1
     assert text.count("Exchange hashpartitioning") == 1
 
 
-def test_profile_reads_the_table_once(stored_raw):
-    assert plan(profiling.quality_profile(stored_raw)).count("FileScan") == 1
+def test_profile_reads_the_table_once(raw):
+    assert plan(profiling.quality_profile(raw)).count("FileScan") == 1
 
 
 @pytest.mark.parametrize("query", [business.risk_segments, business.cumulative_exposure])
