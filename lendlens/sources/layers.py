@@ -56,10 +56,11 @@ class LayerStore:
 
     def register(self, layer: str, table: str = LOANS, prefix: str = "") -> str:
         """Make a written table visible to SQL as ``{prefix}{layer}.{table}``."""
-        name = f"`{prefix}{layer}`.`{table}`"
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} USING parquet "
-            f"LOCATION '{self.path(layer, table)}'"
-        )
+        name, path = f"`{prefix}{layer}`.`{table}`", self.path(layer, table)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+        location = details.filter("col_name = 'Location'").first()["data_type"]
+        if not location.rstrip("/").endswith(path.split("://")[-1]):
+            raise ValueError(f"{name} already exists at {location}")
         self.spark.catalog.refreshTable(name)
         return name

@@ -101,6 +101,11 @@ def test_tables_are_visible_to_sql(spark, raw):
         f"SELECT COUNT(*) AS N FROM {table} WHERE RISK_TIER IN ('High Risk', 'Critical Risk')"
     ).first()
     assert row.N == 102
+    assert store.register("clean", prefix="t1_") == table
+    elsewhere = LayerStore(spark, scratch_dir(spark, "layers"))
+    run_pipeline(raw, elsewhere)
+    with pytest.raises(ValueError, match="already exists"):
+        elsewhere.register("clean", prefix="t1_")
 
 
 def test_scored_view(spark, scored):
