@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlens.llm import block_naming, bpe, secrets, simhash
+from lendlens.llm import block_naming, bpe, chat_tree, language_id, licenses, secrets, simhash
 from lendlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,30 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return bpe.token_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def _licenses(docs: DataFrame) -> DataFrame:
+    return licenses.scan_licenses(docs).drop("spans")
+
+
+def _languages(docs: DataFrame) -> DataFrame:
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = [(-1, 0, "user", said), (-1, 1, chat_tree.LOSS_ROLE, said)]
+    more = spark.createDataFrame(more, "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_tree.chat_digests(rows.unionByName(more))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _documents(secrets.secret_digests),
         "op2_simhash_near_dedup": _documents(simhash.near_groups),
+        "op3_license_scan": _documents(_licenses),
+        "op4_language_id": _documents(_languages),
         "op5_exact_dedup": _documents(block_naming.exact_groups),
+        "op7_chat_prefix_tree": _chat,
         "op10_bpe_round_trip": _documents(_tokens),
     }
 
