@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlens.llm import block_naming, bpe, chat_tree, language_id, licenses, secrets, simhash
+from lendlens.llm import (
+    block_naming,
+    bpe,
+    chat_tree,
+    decontaminate,
+    language_id,
+    licenses,
+    secrets,
+    simhash,
+)
 from lendlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +39,11 @@ def _languages(docs: DataFrame) -> DataFrame:
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontaminate.find_contaminated(table(spark, sf_dir, "documents"), benchmark)
+
+
 def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     more = [(-1, 0, "user", said), (-1, 1, chat_tree.LOSS_ROLE, said)]
@@ -46,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op4_language_id": _documents(_languages),
         "op5_exact_dedup": _documents(block_naming.exact_groups),
         "op7_chat_prefix_tree": _chat,
+        "op8_decontamination": _leaks,
         "op10_bpe_round_trip": _documents(_tokens),
     }
 
