@@ -1,42 +1,59 @@
 """Byte-level BPE encoding and decoding over a global vocabulary of distinct words.
 
 Texts are cut into pre-tokens. A chunk of texts lists its distinct words once and keeps, per text,
-the word numbers by position. The distinct words of all chunks meet in one shuffle, each is encoded
-once, its ids are joined back to the chunks, and the ids are put in order by position. Decoding
+the word numbers by position, both in packed rows. The distinct words of all chunks meet in one
+shuffle by word hash, each is encoded once, its ids go back to the chunks that have it, and the ids
+are put in order by position. Decoding
 gathers rows of the token-byte table, which has one row per rank of the vocabulary file.
 """
 
 from __future__ import annotations
 
 import base64
+import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.llm.common import batch_of, id_and_text, slices, stored
 
-CHUNK_WORDS = 200_000
+CHUNK_WORDS = 500_000
 CHUNK_TOKENS = 8_000_000
 WORD, TEXT = 0, 1
-_CUT = pa.schema(
-    [
-        ("chunk", pa.int64()),
-        ("kind", pa.int32()),
-        ("number", pa.int32()),
-        ("doc_id", pa.int64()),
-        ("word", pa.string()),
-        ("body", pa.binary()),
-    ]
+NULL_ID = -(2**63)
+_PACKED = pa.schema(
+    [("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("body", pa.binary())]
 )
-_CUT_DDL = "chunk long, kind int, number int, doc_id long, word string, body binary"
+_PACKED_DDL = "chunk long, kind int, bucket int, body binary"
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 
+def pack(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as compressed byte planes, which suits many small numbers."""
+    parts = [np.array([len(arrays)], "<i8").tobytes()]
+    for array in arrays:
+        planes = np.ascontiguousarray(array.view(np.uint8).reshape(-1, array.itemsize).T)
+        parts += [np.array([len(array), array.itemsize], "<i8").tobytes(), planes.tobytes()]
+    return zstandard.compress(b"".join(parts))
+
+
+def unpack(body: bytes) -> list[np.ndarray]:
+    raw, at, arrays = zstandard.decompress(body), 8, []
+    for _ in range(int.from_bytes(raw[:8], "little")):
+        n, size = np.frombuffer(raw, "<i8", 2, at).tolist()
+        planes = np.frombuffer(raw, np.uint8, n * size, at + 16).reshape(size, n)
+        arrays.append(np.ascontiguousarray(planes.T).view(f"<u{size}").reshape(-1))
+        at += 16 + n * size
+    return arrays
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a vocabulary file (base64 and rank per line)."""
     with open(path, "rb") as lines:
@@ -49,53 +66,85 @@ class _Numbers(dict):
         return number
 
 
-def _cut(pattern: str):
-    """Rows of a chunk's distinct words, and of each text's word numbers."""
+def _cut(pattern: str, buckets: int):
+    """Packed rows of a chunk: its distinct words by bucket, and its texts as word numbers."""
 
     def run(batches):
         find = regex.compile(pattern).findall
         partition = TaskContext.get().partitionId() << 33
-        chunk, numbers, tokens = partition, _Numbers(), 0
-
-        def words():
-            names = list(numbers)
-            for start in range(0, len(names), 10_000):
-                part = names[start : start + 10_000]
-                n, count = len(part), range(start, start + len(part))
-                yield batch_of(
-                    _CUT, [[chunk] * n, [WORD] * n, list(count), [None] * n, part, [None] * n]
-                )
+        chunk, numbers, waiting, tokens = partition, _Numbers(), [], 0
+
+        def rows():
+            """Words are numbered anew by frequency, so that most numbers are small."""
+            n = len(numbers)
+            counts = sum((np.bincount(part[2], minlength=n) for part in waiting), np.zeros(n, int))
+            rank = np.empty(n, np.uint32)
+            rank[np.argsort(-counts, kind="stable")] = np.arange(n, dtype=np.uint32)
+            for ids, lengths, found in waiting:
+                body = pack(ids, lengths, rank[found])
+                yield batch_of(_PACKED, [[chunk], [TEXT], [0], [body]])
+            words = [word.encode() for word in numbers]
+            bucket = np.fromiter((zlib.crc32(word) % buckets for word in words), np.int32, n)
+            order = np.lexsort((rank, bucket))
+            for members in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                own = [words[i] for i in members]
+                joined = np.frombuffer(b"".join(own), np.uint8)
+                lengths = np.fromiter(map(len, own), np.uint32, len(own))
+                body = pack(rank[members], lengths, joined)
+                yield batch_of(_PACKED, [[chunk], [WORD], [int(bucket[members[0]])], [body]])
 
         for batch in slices(batches):
             ids, texts = (column.to_pylist() for column in batch.columns)
-            bodies = []
-            for text in texts:
-                found = find(text)
-                tokens += len(found)
-                bodies.append(
-                    np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)).tobytes()
-                )
-            n = len(ids)
-            yield batch_of(_CUT, [[chunk] * n, [TEXT] * n, [0] * n, ids, [None] * n, bodies])
+            cut = [find(text) for text in texts]
+            lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+            found = (numbers[word] for words in cut for word in words)
+            found = np.fromiter(found, np.uint32, int(lengths.sum()))
+            ids = np.array([NULL_ID if i is None else i for i in ids], np.int64)
+            waiting.append((ids, lengths, found))
+            tokens += len(found)
             if len(numbers) > CHUNK_WORDS or tokens > CHUNK_TOKENS:
-                yield from words()
-                chunk, numbers, tokens = chunk + 1, _Numbers(), 0
-        yield from words()
+                yield from rows() if tokens else _empty_rows(chunk, waiting)
+                chunk, numbers, waiting, tokens = chunk + 1, _Numbers(), [], 0
+        if waiting:
+            yield from rows() if tokens else _empty_rows(chunk, waiting)
 
     return run
 
 
+def _empty_rows(chunk: int, waiting: list):
+    for part in waiting:
+        yield batch_of(_PACKED, [[chunk], [TEXT], [0], [pack(*part)]])
+
+
+def _split(joined: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    data, ends = joined.tobytes(), np.cumsum(lengths, dtype=np.int64).tolist()
+    return [data[start:end] for start, end in zip([0, *ends], ends)]
+
+
 def _encode_words(ranks: dict[bytes, int], pattern: str):
-    schema = pa.schema([("word", pa.string()), ("body", pa.binary())])
+    """All chunks' words of a bucket are in one task, which encodes a distinct word once."""
 
     def run(batches):
         encoding = tiktoken.Encoding(
             "words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
-        for batch in slices(batches, "word"):
-            words = batch.column(0).to_pylist()
-            ids = [np.array(encoding.encode_ordinary(w), "<u4").tobytes() for w in words]
-            yield batch_of(schema, [words, ids])
+        known: dict[bytes, list[int]] = {}
+        current = None
+        for batch in batches:
+            for chunk, _, bucket, body in zip(*(column.to_pylist() for column in batch.columns)):
+                if bucket != current:
+                    current, known = bucket, {}
+                numbers, lengths, joined = unpack(body)
+                words = _split(joined, lengths)
+                for word in words:
+                    if word not in known:
+                        known[word] = encoding.encode_ordinary(word.decode())
+                ids = [known[word] for word in words]
+                counts = np.fromiter(map(len, ids), np.uint32, len(ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
+                yield batch_of(
+                    _PACKED, [[chunk], [WORD], [bucket], [pack(numbers, counts, flat)]]
+                )
 
     return run
 
@@ -109,24 +158,30 @@ def gather(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _assemble(batches):
-    """A chunk's words come first, in order of their numbers, then its texts."""
-    chunk, pieces, flat, ends = None, [], None, None
+    """The encoded words of a chunk come first, then its texts."""
+    chunk, parts, flat, ends, order = None, [], None, None, None
     for batch in batches:
-        chunks, kinds, ids, bodies = (batch.column(i).to_pylist() for i in range(4))
-        out = ([], [], [])
-        for at, kind, doc_id, body in zip(chunks, kinds, ids, bodies):
+        for at, kind, _, body in zip(*(column.to_pylist() for column in batch.columns)):
             if at != chunk:
-                chunk, pieces, flat = at, [], None
+                chunk, parts, flat = at, [], None
             if kind == WORD:
-                pieces.append(body)
+                parts.append(unpack(body))
                 continue
             if flat is None:
-                flat = np.frombuffer(b"".join(pieces), "<u4")
-                ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))) // 4
-            tokens = gather(flat, ends, np.frombuffer(body, np.uint32))
-            for values, value in zip(out, (doc_id, len(tokens), tokens.tobytes())):
-                values.append(value)
-        if out[0]:
+                numbers, counts, flat = (
+                    np.concatenate([part[i] for part in parts] or [np.zeros(0, np.uint32)])
+                    for i in range(3)
+                )
+                ends = np.cumsum(counts, dtype=np.int64)
+                order = np.empty(len(numbers), np.int64)
+                order[numbers] = np.arange(len(numbers))
+            ids, lengths, found = unpack(body)
+            last, out = np.cumsum(lengths.astype(np.int64)).tolist(), ([], [], [])
+            for doc_id, start, end in zip(ids.view(np.int64).tolist(), [0, *last], last):
+                tokens = gather(flat, ends, order[found[start:end]]).astype("<u4")
+                doc_id = None if doc_id == NULL_ID else doc_id
+                for values, value in zip(out, (doc_id, len(tokens), tokens.tobytes())):
+                    values.append(value)
             yield batch_of(_ENCODED, out)
 
 
@@ -135,23 +190,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 
     NULL and empty texts have no tokens. Repeated rows and NULL ids each give a row. A text is
     encoded whole, however long; chunks end at text ends, after ``CHUNK_WORDS`` distinct words or
-    ``CHUNK_TOKENS`` positions.
+    ``CHUNK_TOKENS`` positions. There are as many word buckets as shuffle partitions, so both grow
+    with the input; a bucket is read row by row, and holds its distinct words only.
     """
-    cut = stored(id_and_text(docs).mapInArrow(_cut(pattern), _CUT_DDL), "pre-tokens")
-    words = cut.filter(F.col("kind") == WORD).select("chunk", "number", "word")
-    vocabulary = stored(
-        words.select("word")
-        .distinct()
-        .mapInArrow(_encode_words(ranks, pattern), "word string, body binary"),
-        "word-ids",
-    )
-    rows = (
-        words.join(vocabulary, "word")
-        .select("chunk", F.lit(WORD).alias("kind"), F.lit(None).cast("long").alias("doc_id"), "body", "number")
-        .unionByName(cut.filter(F.col("kind") == TEXT).select("chunk", "kind", "doc_id", "body", "number"))
-    )
-    ordered = rows.repartition("chunk").sortWithinPartitions("chunk", "kind", "number")
-    return ordered.drop("number").mapInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = stored(id_and_text(docs).mapInArrow(_cut(pattern, buckets), _PACKED_DDL), "pre-tokens")
+    words = cut.filter(F.col("kind") == WORD).repartition("bucket").sortWithinPartitions("bucket")
+    encoded = stored(words.mapInArrow(_encode_words(ranks, pattern), _PACKED_DDL), "word-ids")
+    rows = encoded.unionByName(cut.filter(F.col("kind") == TEXT))
+    ordered = rows.repartition("chunk").sortWithinPartitions("chunk", "kind")
+    return ordered.mapInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
