@@ -17,12 +17,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, id_and_text, slices, stored
+from lendlens.llm.common import batch_of, id_and_text, pack, slices, stored, unpack
 
 CHUNK_WORDS = 500_000
 CHUNK_TOKENS = 8_000_000
@@ -35,25 +34,6 @@ _PACKED_DDL = "chunk long, kind int, bucket int, body binary"
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Integer arrays as compressed byte planes, which suits many small numbers."""
-    parts = [np.array([len(arrays)], "<i8").tobytes()]
-    for array in arrays:
-        planes = np.ascontiguousarray(array.view(np.uint8).reshape(-1, array.itemsize).T)
-        parts += [np.array([len(array), array.itemsize], "<i8").tobytes(), planes.tobytes()]
-    return zstandard.compress(b"".join(parts))
-
-
-def unpack(body: bytes) -> list[np.ndarray]:
-    raw, at, arrays = zstandard.decompress(body), 8, []
-    for _ in range(int.from_bytes(raw[:8], "little")):
-        n, size = np.frombuffer(raw, "<i8", 2, at).tolist()
-        planes = np.frombuffer(raw, np.uint8, n * size, at + 16).reshape(size, n)
-        arrays.append(np.ascontiguousarray(planes.T).view(f"<u{size}").reshape(-1))
-        at += 16 + n * size
-    return arrays
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a vocabulary file (base64 and rank per line)."""
     with open(path, "rb") as lines:

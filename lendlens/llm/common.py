@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,13 +59,15 @@ def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_kept_id"]), "left_semi")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that one holds about ``BATCH_CHARS`` bytes of a string column, a row at least."""
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str = "text", most: int = BATCH_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that one holds ``most`` bytes of a string column at most, or a single row."""
     for batch in batches:
         start = size = 0
         lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
         for row, n in enumerate(lengths):
-            if size and size + (n or 0) > BATCH_CHARS:
+            if size and size + (n or 0) > most:
                 yield batch.slice(start, row - start)
                 start, size = row, 0
             size += n or 0
@@ -75,3 +79,22 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(values, type=field.type) for values, field in zip(columns, schema)], schema=schema
     )
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as compressed byte planes, which suits many small numbers."""
+    parts = [np.array([len(arrays)], "<i8").tobytes()]
+    for array in arrays:
+        planes = np.ascontiguousarray(array.view(np.uint8).reshape(-1, array.itemsize).T)
+        parts += [np.array([len(array), array.itemsize], "<i8").tobytes(), planes.tobytes()]
+    return zstandard.compress(b"".join(parts))
+
+
+def unpack(body: bytes) -> list[np.ndarray]:
+    raw, at, arrays = zstandard.decompress(body), 8, []
+    for _ in range(int.from_bytes(raw[:8], "little")):
+        n, size = np.frombuffer(raw, "<i8", 2, at).tolist()
+        planes = np.frombuffer(raw, np.uint8, n * size, at + 16).reshape(size, n)
+        arrays.append(np.ascontiguousarray(planes.T).view(f"<u{size}").reshape(-1))
+        at += 16 + n * size
+    return arrays

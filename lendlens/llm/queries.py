@@ -16,6 +16,7 @@ from lendlens.llm import (
     licenses,
     secrets,
     simhash,
+    suffixes,
 )
 from lendlens.llm.common import table
 
@@ -61,6 +62,7 @@ def queries() -> dict[str, Query]:
         "op5_exact_dedup": _documents(block_naming.exact_groups),
         "op7_chat_prefix_tree": _chat,
         "op8_decontamination": _leaks,
+        "op9_previous_factors": _documents(suffixes.repeat_digests),
         "op10_bpe_round_trip": _documents(_tokens),
     }
 
