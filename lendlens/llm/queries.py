@@ -14,6 +14,7 @@ from lendlens.llm import (
     decontaminate,
     language_id,
     licenses,
+    passages,
     secrets,
     simhash,
     suffixes,
@@ -60,6 +61,7 @@ def queries() -> dict[str, Query]:
         "op3_license_scan": _documents(_licenses),
         "op4_language_id": _documents(_languages),
         "op5_exact_dedup": _documents(block_naming.exact_groups),
+        "op6_fuzzy_passages": _documents(passages.find_passages),
         "op7_chat_prefix_tree": _chat,
         "op8_decontamination": _leaks,
         "op9_previous_factors": _documents(suffixes.repeat_digests),
