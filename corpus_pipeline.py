@@ -1,16 +1,57 @@
-"""The corpus pipeline: stages that clean ``documents`` and end in token ids."""
+"""The corpus pipeline: stages that clean ``documents`` and end in token ids.
+
+Each stage works on all that its predecessor kept. The first four return the columns of their
+input; the last returns a row of token ids per document.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lendlens.llm import block_naming, bpe, decontaminate, language_id, simhash
+from lendlens.llm.common import keep_rows, stored, table
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that language ID rejects."""
+    return keep_rows(docs, language_id.identify(docs).filter(~F.col("rejected")))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text, that with the largest id."""
+    return block_naming.drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group, that with the smallest id."""
+    groups = simhash.near_groups(docs)
+    return keep_rows(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold a benchmark item, also with other values."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` and the digest of the text decoded from the ids."""
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
-from lendlens.llm import block_naming
-from lendlens.llm.common import stored, table
 
 STAGES = [
-    ("exact dedup", lambda spark, docs, sf_dir: block_naming.drop_copies(docs)),
+    ("language ID", known_language),
+    ("exact dedup", exact_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", without_benchmark),
+    ("byte-level BPE", tokenize),
 ]
-ORACLE_SQL = None
+ORACLE_SQL = None  # models, fingerprints and merges have no SQL form; tests/llm has a brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

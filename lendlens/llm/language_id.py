@@ -24,7 +24,7 @@ from lendlens.llm.common import batch_of, slices, stored
 ORDER = 4
 DISCOUNT = 0.75
 MAX_GRAMS = 300_000
-REJECT_SPREADS = 12.0
+REJECT_SPREADS = 16.0
 CALIBRATION_CHARS = 400
 UNKNOWN = "und"
 FLUSH_GRAMS = 500_000
