@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from lendlens.llm.common import batch_of, id_and_text, pack, slices, stored, unpack
 
-CHUNK_WORDS = 500_000
+CHUNK_WORDS = 300_000
 CHUNK_TOKENS = 8_000_000
+SLICE_BYTES = 2_000_000
 WORD, TEXT = 0, 1
 NULL_ID = -(2**63)
 _PACKED = pa.schema(
@@ -62,7 +63,7 @@ def _cut(pattern: str, buckets: int):
             rank[np.argsort(-counts, kind="stable")] = np.arange(n, dtype=np.uint32)
             for ids, lengths, found in waiting:
                 body = pack(ids, lengths, rank[found])
-                yield batch_of(_PACKED, [[chunk], [TEXT], [0], [body]])
+                yield batch_of(_PACKED, [[chunk], [TEXT], [zlib.crc32(body) % buckets], [body]])
             words = [word.encode() for word in numbers]
             bucket = np.fromiter((zlib.crc32(word) % buckets for word in words), np.int32, n)
             order = np.lexsort((rank, bucket))
@@ -73,7 +74,7 @@ def _cut(pattern: str, buckets: int):
                 body = pack(rank[members], lengths, joined)
                 yield batch_of(_PACKED, [[chunk], [WORD], [int(bucket[members[0]])], [body]])
 
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             ids, texts = (column.to_pylist() for column in batch.columns)
             cut = [find(text) for text in texts]
             lengths = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -102,7 +103,10 @@ def _split(joined: np.ndarray, lengths: np.ndarray) -> list[bytes]:
 
 
 def _encode_words(ranks: dict[bytes, int], pattern: str):
-    """All chunks' words of a bucket are in one task, which encodes a distinct word once."""
+    """All chunks' words of a bucket are in one task, which encodes a distinct word once.
+
+    Rows of texts pass.
+    """
 
     def run(batches):
         encoding = tiktoken.Encoding(
@@ -111,7 +115,10 @@ def _encode_words(ranks: dict[bytes, int], pattern: str):
         known: dict[bytes, list[int]] = {}
         current = None
         for batch in batches:
-            for chunk, _, bucket, body in zip(*(column.to_pylist() for column in batch.columns)):
+            for chunk, kind, bucket, body in zip(*(column.to_pylist() for column in batch.columns)):
+                if kind == TEXT:
+                    yield batch_of(_PACKED, [[chunk], [TEXT], [bucket], [body]])
+                    continue
                 if bucket != current:
                     current, known = bucket, {}
                 numbers, lengths, joined = unpack(body)
@@ -129,40 +136,45 @@ def _encode_words(ranks: dict[bytes, int], pattern: str):
     return run
 
 
-def gather(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The pieces ``rows`` of ``flat`` one after the other; piece i ends at ``ends[i]``."""
-    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-    lengths = (ends - starts)[rows]
-    before = np.cumsum(lengths) - lengths
-    return flat[np.repeat(starts[rows] - before, lengths) + np.arange(lengths.sum())]
+class Pieces:
+    """Pieces of a flat array, which can be laid one after the other in any order."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray):
+        self.flat = flat
+        self.lengths = lengths.astype(np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def gather(self, rows: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[rows]
+        ends = np.cumsum(lengths)
+        shift = self.starts[rows] - (ends - lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(shift, lengths) + np.arange(total)]
 
 
 def _assemble(batches):
     """The encoded words of a chunk come first, then its texts."""
-    chunk, parts, flat, ends, order = None, [], None, None, None
+    chunk, parts, pieces = None, [], None
     for batch in batches:
         for at, kind, _, body in zip(*(column.to_pylist() for column in batch.columns)):
             if at != chunk:
-                chunk, parts, flat = at, [], None
+                chunk, parts, pieces = at, [], None
             if kind == WORD:
                 parts.append(unpack(body))
                 continue
-            if flat is None:
-                numbers, counts, flat = (
-                    np.concatenate([part[i] for part in parts] or [np.zeros(0, np.uint32)])
-                    for i in range(3)
-                )
-                ends = np.cumsum(counts, dtype=np.int64)
-                order = np.empty(len(numbers), np.int64)
-                order[numbers] = np.arange(len(numbers))
+            if pieces is None:
+                none = [np.zeros(0, np.uint32)]
+                numbers, counts, flat = (np.concatenate([p[i] for p in parts] or none) for i in range(3))
+                by_number = np.argsort(numbers, kind="stable")
+                pieces = Pieces(Pieces(flat, counts).gather(by_number).astype("<u4"), counts[by_number])
+                parts = []
             ids, lengths, found = unpack(body)
-            last, out = np.cumsum(lengths.astype(np.int64)).tolist(), ([], [], [])
-            for doc_id, start, end in zip(ids.view(np.int64).tolist(), [0, *last], last):
-                tokens = gather(flat, ends, order[found[start:end]]).astype("<u4")
-                doc_id = None if doc_id == NULL_ID else doc_id
-                for values, value in zip(out, (doc_id, len(tokens), tokens.tobytes())):
-                    values.append(value)
-            yield batch_of(_ENCODED, out)
+            tokens = pieces.gather(found).tobytes()
+            sizes = np.concatenate([[0], np.cumsum(pieces.lengths[found])])
+            ends = sizes[np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])].tolist()
+            doc_ids = [None if i == NULL_ID else i for i in ids.view(np.int64).tolist()]
+            bodies = [tokens[4 * start : 4 * end] for start, end in zip(ends, ends[1:])]
+            yield batch_of(_ENCODED, [doc_ids, [len(ids) // 4 for ids in bodies], bodies])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -174,11 +186,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     with the input; a bucket is read row by row, and holds its distinct words only.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = stored(id_and_text(docs).mapInArrow(_cut(pattern, buckets), _PACKED_DDL), "pre-tokens")
-    words = cut.filter(F.col("kind") == WORD).repartition("bucket").sortWithinPartitions("bucket")
-    encoded = stored(words.mapInArrow(_encode_words(ranks, pattern), _PACKED_DDL), "word-ids")
-    rows = encoded.unionByName(cut.filter(F.col("kind") == TEXT))
-    ordered = rows.repartition("chunk").sortWithinPartitions("chunk", "kind")
+    cut = id_and_text(docs).mapInArrow(_cut(pattern, buckets), _PACKED_DDL)
+    by_word = cut.repartition("bucket").sortWithinPartitions("bucket", "kind")
+    encoded = stored(by_word.mapInArrow(_encode_words(ranks, pattern), _PACKED_DDL), "word-ids")
+    ordered = encoded.repartition("chunk").sortWithinPartitions("chunk", "kind")
     return ordered.mapInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
 
@@ -189,13 +200,13 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     for token, rank in ranks.items():
         table[rank] = token
     flat = np.frombuffer(b"".join(table), np.uint8)
-    ends = np.cumsum([len(token) for token in table])
+    pieces = Pieces(flat, np.array([len(token) for token in table]))
     schema = pa.schema([*_ENCODED, ("bytes", pa.binary())])
 
     def run(batches):
         for batch in slices(batches, "ids"):
             ids, counts, bodies = (column.to_pylist() for column in batch.columns)
-            texts = [gather(flat, ends, np.frombuffer(body, "<u4")).tobytes() for body in bodies]
+            texts = [pieces.gather(np.frombuffer(body, "<u4")).tobytes() for body in bodies]
             yield batch_of(schema, [ids, counts, bodies, texts])
 
     ddl = "doc_id long, n_tokens long, ids binary, bytes binary"
