@@ -87,7 +87,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     for array in arrays:
         planes = np.ascontiguousarray(array.view(np.uint8).reshape(-1, array.itemsize).T)
         parts += [np.array([len(array), array.itemsize], "<i8").tobytes(), planes.tobytes()]
-    return zstandard.compress(b"".join(parts))
+    return zstandard.compress(b"".join(parts), 6)
 
 
 def unpack(body: bytes) -> list[np.ndarray]:
