@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlens.session import fit_to_input
 
 ORDER_SCHEMA = "o_orderkey long, o_custkey long, o_totalprice double"
 CUSTOMER_SCHEMA = "c_custkey long, c_acctbal double"
@@ -58,4 +57,4 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
              'cb_person_cred_hist_length', CASE WHEN k % 307 <> 9 THEN int(2 + 3 * k % 13) END
            ), CASE WHEN k % 50 = 11 THEN 2 ELSE 1 END))"""
     )
-    return fit_to_input(loans)
+    return loans

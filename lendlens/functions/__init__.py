@@ -1,14 +1 @@
-from lendlens.functions.measures import loans, mean, rate_pct, share_pct, total
-from lendlens.functions.numeric import bucketize, fold_nan, ratio, stable_round
-
-__all__ = [
-    "bucketize",
-    "fold_nan",
-    "loans",
-    "mean",
-    "rate_pct",
-    "ratio",
-    "share_pct",
-    "stable_round",
-    "total",
-]
+"""Column builders."""

@@ -24,7 +24,9 @@ def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     chunks = surplus.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk))
     ).withColumn("_take", F.least(per_chunk, F.col("_n") - F.col("_chunk") * per_chunk))
-    spread = chunks.repartition(*names, "_chunk")
+    # With a number, AQE does not merge the chunks, whose rows are few and small.
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(width, *names, "_chunk")
     return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take")))).select(
         *names
     )

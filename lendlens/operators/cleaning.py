@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendlens.functions.numeric import fold_nan
 from lendlens.schema import CRITICAL_COLUMNS, MAX_AGE, MAX_INCOME, RAW_COLUMNS
 
 
@@ -45,9 +46,10 @@ def standardize_text(df: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """All four steps, in order. Catalyst moves both filters below the dedup shuffle."""
+    """All four steps, in order, with NaN as missing. Both filters move below the dedup shuffle."""
     return (
-        raw.transform(dedup)
+        raw.transform(fold_nan)
+        .transform(dedup)
         .transform(drop_missing)
         .transform(filter_outliers)
         .transform(standardize_text)
@@ -60,7 +62,8 @@ def clean_funnel(raw: DataFrame) -> DataFrame:
     for name in CRITICAL_COLUMNS:
         complete = complete & F.col(name).isNotNull()
     return (
-        raw.groupBy(*RAW_COLUMNS)
+        fold_nan(raw)
+        .groupBy(*RAW_COLUMNS)
         .agg(F.count("*").alias("copies"))
         .agg(
             F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),

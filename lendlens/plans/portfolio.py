@@ -11,7 +11,7 @@ from lendlens.functions.measures import (
     rate_pct,
     share_of_result,
 )
-from lendlens.functions.numeric import ratio, stable_round
+from lendlens.functions.numeric import fold_nan, ratio, stable_round
 from lendlens.operators.histograms import histogram, histogram_by_class
 from lendlens.schema import STATUS_LABELS
 
@@ -44,16 +44,16 @@ def status_distribution(raw: DataFrame) -> DataFrame:
 
 
 def loan_amount_histogram(raw: DataFrame) -> DataFrame:
-    return histogram(raw, "loan_amnt", AMOUNT_BINS)
+    return histogram(fold_nan(raw), "loan_amnt", AMOUNT_BINS)
 
 
 def age_histogram(raw: DataFrame) -> DataFrame:
-    return histogram(raw, "person_age", AGE_BINS)
+    return histogram(fold_nan(raw), "person_age", AGE_BINS)
 
 
 def rate_histogram_by_status(raw: DataFrame) -> DataFrame:
     return histogram_by_class(
-        raw, "loan_int_rate", RATE_BINS, "loan_status", list(STATUS_LABELS)
+        fold_nan(raw), "loan_int_rate", RATE_BINS, "loan_status", list(STATUS_LABELS)
     )
 
 
@@ -61,7 +61,7 @@ def executive_summary(raw: DataFrame) -> DataFrame:
     """Headline figures of the raw rows; averages skip NULL, the default rate counts every row."""
     rate = stable_round(ratio(F.col("total_defaults"), F.col("total_loans")) * 100, 2)
     return (
-        raw.agg(
+        fold_nan(raw).agg(
             loans(),
             F.coalesce(F.sum("loan_status"), F.lit(0)).alias("total_defaults"),
             mean("loan_amnt", 2, "avg_loan_amount"),

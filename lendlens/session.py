@@ -6,15 +6,10 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
 TARGET_SHUFFLE_BYTES = 256 * MB
-MAX_SHUFFLE_PARTITIONS = 100_000
-UNKNOWN_BYTES = 2**62  # Catalyst reports about this much for a table it cannot size
-MAX_SCAN_TASKS = 200_000
-SPLIT_CONF = "spark.sql.files.maxPartitionBytes"
-DEFAULT_SPLIT_BYTES = 128 * MB
 
 
 def local_session(cores: int | str = "*", app: str = "lendlens", **conf: str) -> SparkSession:
@@ -40,37 +35,14 @@ def local_session(cores: int | str = "*", app: str = "lendlens", **conf: str) ->
     return spark
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's total size of the tables a frame reads; 0 where it cannot be asked.
+def shuffle_partitions(stored_bytes: int, growth: float = 3) -> int:
+    """The value for ``spark.sql.shuffle.partitions`` when that much stored input is shuffled.
 
-    The estimate of the whole plan would not do: for a join it is the product of both sides.
+    The caller sets it once, with the session: AQE merges small partitions but cannot split those of
+    an aggregation, so the number has to follow the input. ``growth`` is the size of the shuffled
+    rows relative to the stored (compressed) columns. There is no upper bound.
     """
-    try:
-        tables = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    except AttributeError:  # Spark Connect
-        return 0
-    sizes = [int(str(tables.apply(i).stats().sizeInBytes())) for i in range(tables.size())]
-    return sum(size for size in sizes if size < UNKNOWN_BYTES)
-
-
-def fit_to_input(df: DataFrame, growth: float = 3) -> DataFrame:
-    """Raise (never lower) the session's shuffle width and scan split for a frame to be shuffled.
-
-    AQE can merge small shuffle partitions but cannot split an aggregation's, so the starting
-    number has to grow with the data. Very large inputs get larger scan splits instead of ever
-    more map tasks, because shuffle blocks number maps x reducers. ``growth`` is the size of the
-    shuffled rows relative to the stored (compressed) columns.
-    """
-    spark = df.sparkSession
-    stored = input_bytes(df)
-    wanted = min(math.ceil(stored * growth / TARGET_SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    split = math.ceil(stored / MAX_SCAN_TASKS)
-    untouched = spark.conf.get(SPLIT_CONF).lower() in ("128mb", "134217728", "134217728b")
-    if split > DEFAULT_SPLIT_BYTES and untouched:
-        spark.conf.set(SPLIT_CONF, str(split))
-    return df
+    return max(1, math.ceil(stored_bytes * growth / TARGET_SHUFFLE_BYTES))
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lendlens.sources.constants import literal_rows
+
+VERSIONS = "version long, folder string"
 LAYERS = ("raw", "clean", "analytics")
 LOANS = "loan_applications"
 
 
 class LayerStore:
-    """Reads and replaces ``{base}/{layer}/{table}``; can expose the tables to Spark SQL."""
+    """Reads and replaces tables below ``{base}/{layer}/{table}``; can expose the tables to Spark SQL."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
-    def path(self, layer: str, table: str) -> str:
+    def _root(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}; layers are {', '.join(LAYERS)}")
         return f"{self.base}/{layer}/{table}"
 
+    def _current(self, layer: str, table: str):
+        """The newest (version, folder); there is one small row per replace."""
+        log = self.spark.read.schema(VERSIONS).parquet(f"{self._root(layer, table)}.versions")
+        return log.orderBy(F.desc("version")).first()
+
+    def path(self, layer: str, table: str) -> str:
+        """The folder that holds the table now."""
+        return f"{self._root(layer, table)}/{self._current(layer, table)['folder']}"
+
     def read(self, layer: str, table: str = LOANS) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
@@ -33,11 +48,21 @@ class LayerStore:
         partition_by: Sequence[str] = (),
         max_records_per_file: int = 0,
     ) -> DataFrame:
-        """Create or replace a table from a query; executors write, nothing passes the driver."""
-        writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        """Create or replace a table from a query; executors write, nothing passes the driver.
+
+        Rows go to a new folder, and readers turn to it only when it is complete. A failed replace
+        leaves the table as it was. Former folders stay, for readers that are still at work.
+        """
+        root, folder = self._root(layer, table), uuid.uuid4().hex
+        log = f"{root}.versions"
+        self.spark.createDataFrame([], VERSIONS).write.mode("ignore").parquet(log)
+        newest = self._current(layer, table)
+        writer = df.write.option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, table))
+        writer.parquet(f"{root}/{folder}")
+        version = newest["version"] + 1 if newest else 0
+        literal_rows(self.spark, VERSIONS, [(version, folder)]).write.mode("append").parquet(log)
         return self.read(layer, table)
 
     def load_raw(self, scored: DataFrame, max_records_per_file: int = 0) -> DataFrame:
@@ -57,10 +82,23 @@ class LayerStore:
     def register(self, layer: str, table: str = LOANS, prefix: str = "") -> str:
         """Make a written table visible to SQL as ``{prefix}{layer}.{table}``."""
         name, path = f"`{prefix}{layer}`.`{table}`", self.path(layer, table)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-        location = details.filter("col_name = 'Location'").first()["data_type"]
-        if not location.rstrip("/").endswith(path.split("://")[-1]):
-            raise ValueError(f"{name} already exists at {location}")
-        self.spark.catalog.refreshTable(name)
+        if self.spark.catalog.tableExists(name):
+            details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+            location = details.filter("col_name = 'Location'").first()["data_type"]
+            folder = location.rstrip("/").rpartition("/")[0]
+            if not _same_place(folder, self._root(layer, table)):
+                raise ValueError(f"{name} already exists at {location}")
+            self.spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
         return name
+
+
+def _same_place(one: str, other: str) -> bool:
+    """Equal paths; a missing scheme stands for the default file system."""
+    (scheme, path), (scheme2, path2) = (_parts(place) for place in (one, other))
+    return path == path2 and (scheme == scheme2 or not scheme or not scheme2)
+
+
+def _parts(place: str) -> tuple[str, str]:
+    url = urlsplit(place)
+    return f"{url.scheme}//{url.netloc}" if url.scheme else "", url.path.rstrip("/")

@@ -70,3 +70,16 @@ def test_funnel_counts(raw, make_loans):
     }
     empty = cleaning.clean_funnel(make_loans({}).limit(0)).first()
     assert tuple(empty) == (0, 0, 0, 0, 0, 0)
+
+
+def test_nan_counts_as_missing_in_every_raw_plan(make_loans):
+    from lendlens.operators.cleaning import clean, clean_funnel
+    from lendlens.plans import portfolio
+
+    raw = make_loans({"loan_int_rate": 10.0}, {"loan_int_rate": float("nan"), "person_age": 40})
+    funnel = clean_funnel(raw).first()
+    assert funnel.final_clean_rows == clean(raw).count() == 1
+    summary = portfolio.executive_summary(raw).first().asDict()
+    assert 10.0 in summary.values() and not [v for v in summary.values() if v != v]
+    bins = portfolio.rate_histogram_by_status(raw).collect()
+    assert not [v for row in bins for v in row if isinstance(v, float) and v != v]
