@@ -232,11 +232,12 @@ def identify(docs: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
     rows = docs.select("doc_id", fold(docs).alias("fold"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     scored = stored(rows.mapInArrow(_score(models), _SCORES_DDL), "language-scores")
     learned = scored.filter((F.col("fold") == CALIBRATION) & (F.col("lang") == F.col("lang_pred")))
-    width = F.sqrt(F.least("n_chars", F.lit(CALIBRATION_CHARS)))
-    level = learned.groupBy("lang_pred").agg(F.avg("entropy").alias("level"))
-    spread = learned.join(level, "lang_pred").groupBy("lang_pred").agg(
-        F.first("level").alias("level"),
-        F.sqrt(F.avg(F.pow((F.col("entropy") - F.col("level")) * width, 2))).alias("spread"),
+    weight = F.least("n_chars", F.lit(CALIBRATION_CHARS))
+    width, entropy = F.sqrt(weight), F.col("entropy")
+    level = F.avg(entropy)
+    square = F.avg(entropy * entropy * weight) - 2 * level * F.avg(entropy * weight) + level * level * F.avg(weight)
+    spread = learned.groupBy("lang_pred").agg(
+        level.alias("level"), F.sqrt(F.greatest(square, F.lit(0.0))).alias("spread")
     )
     limit = F.col("level") + REJECT_SPREADS * F.col("spread") / width
     return scored.join(spread, "lang_pred", "left").select(
