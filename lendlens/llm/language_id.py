@@ -240,6 +240,7 @@ def identify(docs: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
         level.alias("level"), F.sqrt(F.greatest(square, F.lit(0.0))).alias("spread")
     )
     limit = F.col("level") + REJECT_SPREADS * F.col("spread") / width
+    spread = stored(spread, "language-levels")  # a row per language; small ones are broadcast
     return scored.join(spread, "lang_pred", "left").select(
         "doc_id",
         (F.col("fold") == HELD_OUT).alias("held_out"),
