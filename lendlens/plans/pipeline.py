@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from lendlens.operators.clean_layer import clean_layer
 from lendlens.operators.cleaning import clean
 from lendlens.operators.features import add_features
 from lendlens.operators.scoring import add_risk_score
-from lendlens.plans.marts import MARTS
+from lendlens.plans.marts import MARTS, row_counts
 from lendlens.schema import DEFAULT_MODEL, ScoreModel
 from lendlens.sources.layers import LOANS, LayerStore
 
@@ -29,8 +30,44 @@ def register_scored(scored: DataFrame, name: str = SCORED_VIEW) -> None:
 
 
 def run_pipeline(raw: DataFrame, store: LayerStore, model: ScoreModel = DEFAULT_MODEL) -> None:
-    """Write every layer. The dedup runs once; later layers read the written one before them."""
-    loaded = store.load_raw(score_loans(raw, model))
+    """Write every layer. The dedup runs once; later layers read the written one before them.
+
+    Rows are counted while they are written, in total and per tier, and again in the stored table.
+    A difference, or a stored mart whose groups do not add up to CLEAN, raises ``RuntimeError``.
+    """
+    sent = Observation()
+    scored = score_loans(raw, model).observe(sent, *_tier_counts(model))
+    loaded = store.load_raw(scored)
+    check_equal("RAW", sent.get, loaded.agg(*_tier_counts(model)).first().asDict())
     clean_loans = store.replace("clean", LOANS, clean_layer(loaded))
     for name, mart in MARTS.items():
         store.replace("analytics", name, mart(clean_loans))
+    check_marts(store)
+
+
+def _tier_counts(model: ScoreModel) -> list[Column]:
+    tier = F.col("risk_tier")
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(tier == label).alias(label) for label in model.tiers.labels],
+    ]
+
+
+def check_equal(table: str, expected: dict[str, int], found: dict[str, int]) -> None:
+    if expected != found:
+        raise RuntimeError(f"{table} holds {found}, written were {expected}")
+
+
+def check_marts(store: LayerStore) -> None:
+    """Every loan of stored CLEAN is in one group of each stored mart."""
+    rows = {"rows": store.read("clean").count()}
+    for name in MARTS:
+        mart = store.read("analytics", name)
+        loans = "total_borrowers" if "total_borrowers" in mart.columns else "total_loans"
+        total = F.coalesce(F.sum(loans), F.lit(0)).alias("rows")
+        check_equal(f"mart {name}", rows, mart.agg(total).first().asDict())
+
+
+def stored_mart_counts(store: LayerStore) -> DataFrame:
+    """One (table_name, row_count) row per stored mart."""
+    return row_counts({name: store.read("analytics", name) for name in MARTS})

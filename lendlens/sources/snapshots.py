@@ -1,19 +1,18 @@
 """Versioned loan tables: delete, read as of an earlier time, restore.
 
-Plain parquet has no DELETE and no time travel, so each version is a list of immutable segments
-in an append-only log. A segment is what one commit wrote for one value of ``segment_by``; a
-delete rewrites only segments that hold matching rows, and drops a fully matching segment without
-writing anything. One writer at a time.
+Plain parquet has no DELETE and no time travel. Here a log holds one small row per version: the
+folder of rows which that version added, or the condition of those it removed. The rows of a
+version are the query that repeats these steps, so a delete writes no data. ``rewrite`` stores the
+latest rows anew, and later reads start there. One writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,17 +20,10 @@ from lendlens.operators.bags import bag_difference
 from lendlens.sources.constants import literal_rows
 
 LOG_SCHEMA = (
-    "version long, committed_at timestamp, operation string, commit_id string, "
-    "written_by string, segment string, rows long"
+    "version long, committed_at timestamp, operation string, folder string, removed string, "
+    "rows long"
 )
-TAGS = ["commit", "segment"]
-
-
-@dataclass(frozen=True)
-class Segment:
-    written_by: str
-    segment: str
-    rows: int
+WHOLE = ("create", "rewrite")
 
 
 @dataclass(frozen=True)
@@ -39,136 +31,115 @@ class Version:
     number: int
     committed_at: datetime
     operation: str
-    segments: tuple[Segment, ...]
-
-    @property
-    def rows(self) -> int:
-        return sum(s.rows for s in self.segments)
+    folder: str | None
+    removed: str | None
+    rows: int
 
 
 class SnapshotTable:
     def __init__(
-        self, spark: SparkSession, base: str, schema: T.StructType, segment_by: str | None = None
+        self, spark: SparkSession, base: str, schema: T.StructType, cluster_by: str | None = None
     ):
-        """``segment_by`` should be a column with few values that deletes usually select on."""
+        """Rows are sorted by ``cluster_by`` in each file; deletes on it then read few pages."""
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
-        self.segment_by = segment_by
+        self.cluster_by = cluster_by
 
     # Writing
 
     def create(self, df: DataFrame, committed_at: datetime | None = None) -> Version:
-        """Version 0."""
-        commit_id = uuid.uuid4().hex
-        return self._commit(0, "create", commit_id, self._write(df, commit_id), committed_at)
-
-    def delete_where(self, condition: Column, committed_at: datetime | None = None) -> Version:
-        """Remove rows for which the condition is true; rows where it is NULL stay."""
+        """Version 0; an existing table is refused."""
+        self.spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(self._log_path())
+        if self.versions():
+            raise ValueError(f"a table exists at {self.base}")
+        folder, rows = self._write(df)
+        return self._commit(0, "create", committed_at, rows, folder=folder)
+
+    def delete_where(self, condition: str, committed_at: datetime | None = None) -> Version:
+        """Remove rows for which a SQL condition is true; rows where it is NULL stay.
+
+        The condition must depend on the row alone (no random numbers, no current time), since
+        every later read applies it.
+        """
         latest = self.latest()
-        doomed = F.coalesce(condition, F.lit(False))
-        hits = {
-            (row["commit"], row["segment"]): row["hits"]
-            for row in self._scan(latest.segments)
-            .filter(doomed)
-            .groupBy(*TAGS)
-            .agg(F.count("*").alias("hits"))
-            .collect()  # at most one row per segment
-        }
-
-        def hit(s: Segment) -> int:
-            return hits.get((s.written_by, s.segment), 0)
-
-        commit_id = uuid.uuid4().hex
-        kept = [s for s in latest.segments if hit(s) == 0]
-        partly = [s for s in latest.segments if 0 < hit(s) < s.rows]
-        if partly:
-            survivors = self._scan(partly).filter(~doomed).drop(*TAGS)
-            kept += self._write(survivors, commit_id)
-        return self._commit(latest.number + 1, "delete", commit_id, kept, committed_at)
+        hits = self.read(latest).filter(condition).count()
+        return self._commit(
+            latest.number + 1, "delete", committed_at, latest.rows - hits, removed=condition
+        )
 
     def restore_where(
-        self, condition: Column, as_of: Version, committed_at: datetime | None = None
+        self, condition: str, as_of: Version, committed_at: datetime | None = None
     ) -> Version:
         """Append the matching rows of an earlier version, whether or not they are still there."""
         rows = self.read(as_of).filter(condition)
         return self._append("restore", self.latest(), rows, committed_at)
 
     def restore_missing(
-        self, condition: Column, as_of: Version, committed_at: datetime | None = None
+        self, condition: str, as_of: Version, committed_at: datetime | None = None
     ) -> Version:
         """Append only those matching rows (and copies) that the latest version lacks."""
         latest = self.latest()
         earlier, now = (self.read(version).filter(condition) for version in (as_of, latest))
-        rows = bag_difference(earlier, now)
-        return self._append("restore missing", latest, rows, committed_at)
+        return self._append("restore missing", latest, bag_difference(earlier, now), committed_at)
+
+    def rewrite(self, committed_at: datetime | None = None) -> Version:
+        """Store the latest rows in one folder, so that reads repeat no earlier step."""
+        latest = self.latest()
+        folder, rows = self._write(self.read(latest))
+        return self._commit(latest.number + 1, "rewrite", committed_at, rows, folder=folder)
 
     def _append(
-        self, operation: str, latest: Version, rows: DataFrame, committed_at: datetime | None
+        self, operation: str, latest: Version, df: DataFrame, committed_at: datetime | None
     ) -> Version:
-        commit_id = uuid.uuid4().hex
-        segments = [*latest.segments, *self._write(rows, commit_id)]
-        return self._commit(latest.number + 1, operation, commit_id, segments, committed_at)
-
-    def _write(self, df: DataFrame, commit_id: str) -> list[Segment]:
-        """Write the rows below a new commit folder and count them per segment."""
-        segment = F.lit("all")
-        if self.segment_by is not None:
-            value = F.col(self.segment_by).cast("string")
-            segment = F.coalesce(F.concat(F.lit("="), value), F.lit("null"))
-        path = f"{self.base}/data/commit={commit_id}"
-        df.select(*self.schema.fieldNames(), segment.alias("segment")).write.partitionBy(
-            "segment"
-        ).parquet(path)
-        # Partition values and row counts come from file footers, not from the data.
-        counted = (
-            self.spark.read.schema(self._tagged_schema())
-            .option("basePath", f"{self.base}/data")
-            .parquet(path)
-            .groupBy("segment")
-            .agg(F.count("*").alias("rows"))
+        folder, rows = self._write(df)
+        return self._commit(
+            latest.number + 1, operation, committed_at, latest.rows + rows, folder=folder
         )
-        return [Segment(commit_id, row["segment"], row["rows"]) for row in counted.collect()]
+
+    def _write(self, df: DataFrame) -> tuple[str, int]:
+        """Write the rows to a new folder; their number comes from the file footers."""
+        folder = uuid.uuid4().hex
+        rows = df.select(*self.schema.fieldNames())
+        if self.cluster_by is not None:
+            rows = rows.sortWithinPartitions(self.cluster_by)
+        rows.write.parquet(f"{self.base}/{folder}")
+        return folder, self._folder(folder).count()
 
     def _commit(
         self,
         number: int,
         operation: str,
-        commit_id: str,
-        segments: Iterable[Segment],
         committed_at: datetime | None,
+        rows: int,
+        folder: str | None = None,
+        removed: str | None = None,
     ) -> Version:
         """Publish a version: its data is complete, and one small file makes it visible."""
         at = committed_at or datetime.now(timezone.utc)
-        segments = tuple(segments)
-        listed = segments or (Segment(None, None, 0),)
-        rows = [
-            (number, at, operation, commit_id, s.written_by, s.segment, s.rows) for s in listed
-        ]
-        literal_rows(self.spark, LOG_SCHEMA, rows).write.mode("append").parquet(self._log_path())
-        return Version(number, at, operation, segments)
+        row = (number, at, operation, folder, removed, rows)
+        literal_rows(self.spark, LOG_SCHEMA, [row]).write.mode("append").parquet(self._log_path())
+        return Version(number, at, operation, folder, removed, rows)
 
     # Reading
 
     def versions(self) -> list[Version]:
+        """All versions in order; the log has one row for each."""
         log = self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path())
-        commits: dict[int, list] = {}
-        for row in log.withColumn("committed_at", F.unix_micros("committed_at")).collect():
-            commits.setdefault(row["version"], []).append(row)
-        found = []
-        for number, rows in sorted(commits.items()):
-            if len({row["commit_id"] for row in rows}) > 1:
-                raise RuntimeError(f"version {number} was committed by two writers")
-            at = datetime.fromtimestamp(0, timezone.utc) + timedelta(
-                microseconds=rows[0]["committed_at"]
-            )
-            segments = tuple(
-                Segment(row["written_by"], row["segment"], row["rows"])
-                for row in rows
-                if row["written_by"] is not None
+        epoch = datetime.fromtimestamp(0, timezone.utc)
+        return [
+            Version(
+                row["version"],
+                epoch + timedelta(microseconds=row["committed_at"]),
+                row["operation"],
+                row["folder"],
+                row["removed"],
+                row["rows"],
             )
-            found.append(Version(number, at, rows[0]["operation"], segments))
-        return found
+            for row in log.withColumn("committed_at", F.unix_micros("committed_at"))
+            .orderBy("version")
+            .collect()
+        ]
 
     def latest(self) -> Version:
         return self.versions()[-1]
@@ -185,31 +156,21 @@ class SnapshotTable:
         return self.version_at((now or datetime.now(timezone.utc)) - timedelta(seconds=seconds))
 
     def read(self, version: Version | None = None) -> DataFrame:
-        return self._scan((version or self.latest()).segments).drop(*TAGS)
-
-    def _scan(self, segments: Iterable[Segment]) -> DataFrame:
-        """The given segments with their tags; other segments' files are pruned, not read."""
-        segments = list(segments)
-        if not segments:
-            return self.spark.range(0).select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in self._tagged_schema()]
-            )
-        commits = sorted({s.written_by for s in segments})
-        wanted = F.lit(False)
-        for commit in commits:
-            names = [s.segment for s in segments if s.written_by == commit]
-            wanted = wanted | ((F.col("commit") == commit) & F.col("segment").isin(*names))
-        return (
-            self.spark.read.schema(self._tagged_schema())
-            .option("basePath", f"{self.base}/data")
-            .parquet(*[f"{self.base}/data/commit={commit}" for commit in commits])
-            .filter(wanted)
-        )
-
-    def _tagged_schema(self) -> T.StructType:
-        """Nullable columns plus the tags, which come from folder names."""
-        fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields]
-        return T.StructType([*fields, *[T.StructField(tag, T.StringType()) for tag in TAGS]])
+        """The rows of a version, the latest by default."""
+        steps = self.versions()
+        if version is not None:
+            steps = [step for step in steps if step.number <= version.number]
+        start = max(i for i, step in enumerate(steps) if step.operation in WHOLE)
+        rows = self._folder(steps[start].folder)
+        for step in steps[start + 1 :]:
+            if step.removed is not None:
+                rows = rows.filter(~F.coalesce(F.expr(step.removed), F.lit(False)))
+            if step.folder is not None:
+                rows = rows.unionByName(self._folder(step.folder))
+        return rows
+
+    def _folder(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.base}/{folder}")
 
     def _log_path(self) -> str:
         return f"{self.base}/log"

@@ -5,7 +5,7 @@ import pytest
 from lendlens.__main__ import main
 from lendlens.operators.verify import load_checks
 from lendlens.plans import marts
-from lendlens.plans.pipeline import register_scored, run_pipeline, score_loans
+from lendlens.plans.pipeline import check_marts, register_scored, run_pipeline, score_loans
 from lendlens.schema import RAW_COLUMNS, RAW_SCHEMA
 from lendlens.session import scratch_dir, shuffle_partitions
 from lendlens.sources.csv import read_loans_csv, write_loans_csv
@@ -82,6 +82,23 @@ def test_pipeline_can_run_again(spark, raw):
     assert store.read("clean").count() == 1342
 
 
+def test_a_shortened_mart_or_table_stops_the_pipeline(spark, raw):
+    store = LayerStore(spark, scratch_dir(spark, "layers"))
+    run_pipeline(raw, store)
+    name = "credit_analysis"
+    store.replace("analytics", name, store.read("analytics", name).limit(1))
+    with pytest.raises(RuntimeError, match=name):
+        check_marts(store)
+
+    class Losing(LayerStore):
+        def load_raw(self, scored):
+            loaded = super().load_raw(scored)
+            return loaded.filter("RISK_TIER <> 'Critical Risk'")
+
+    with pytest.raises(RuntimeError, match="RAW"):
+        run_pipeline(raw, Losing(spark, scratch_dir(spark, "layers")))
+
+
 def test_load_checks_report_a_loss(spark, scored):
     short = scored.filter("risk_tier <> 'Critical Risk'")
     failed = {c.check_name for c in load_checks(scored, short).collect() if not c.passed}
