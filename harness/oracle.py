@@ -566,6 +566,17 @@ def _stages() -> dict[str, str]:
     )
     return {
         "read_loans_csv": statement("raw", "SELECT * FROM raw"),
+        "csv_rejected_values": statement(
+            "raw",
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS column_name, count(*) FILTER (WHERE {rejected}) AS rejected FROM raw"
+                for name, rejected in {
+                    **dict.fromkeys(RAW_COLUMNS, "false"),
+                    "person_age": "person_age % 10 = 0",
+                    "person_income": "loan_grade = 'A' AND person_income >= 1000",
+                }.items()
+            ),
+        ),
         "dedup_loans": statement("cleaning", "SELECT * FROM deduped"),
         "drop_missing": statement("cleaning", "SELECT * FROM complete"),
         "filter_outliers": statement("cleaning", "SELECT * FROM plausible"),

@@ -15,7 +15,8 @@ def read_loans_csv(spark: SparkSession, path: str | list[str], mode: str = "PERM
 
     Types are declared, so there is no inference pass over the data. Columns are found by their
     header name, in whatever order the files have them; every file must have the same header.
-    A value that does not parse is NULL, or an error with ``mode="FAILFAST"``.
+    A value that does not parse is NULL, or an error with ``mode="FAILFAST"``; the former are
+    counted by ``rejected_values``.
     """
     reader = spark.read.option("header", True).option("nullValue", NULL_TOKEN)
     header = reader.csv(path).columns
@@ -37,6 +38,23 @@ def read_loans_csv(spark: SparkSession, path: str | list[str], mode: str = "PERM
     return fold_nan(loans.select(*[F.col(name) for name in RAW_COLUMNS]))
 
 
+def rejected_values(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(column_name, rejected): values that ``read_loans_csv`` turns into NULL as they do not parse.
+
+    One more scan, as text; the same CSV parser then reads every single value by its declared type.
+    ``NA``, empty fields and NaN are missing, not rejected.
+    """
+    text = spark.read.option("header", True).option("nullValue", NULL_TOKEN).csv(path)
+    whole_value = {"sep": "\u0001", "quote": "", "nullValue": NULL_TOKEN}
+    counts = []
+    for field in RAW_SCHEMA.fields:
+        value = F.col(field.name)
+        parsed = F.from_csv(value, f"v {field.dataType.simpleString()}", whole_value)["v"]
+        counts.append(F.count_if(value.isNotNull() & parsed.isNull()).alias(field.name))
+    names = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("rejected")) for n in RAW_COLUMNS]
+    return text.agg(*counts).select(F.inline(F.array(*names)))
+
+
 def write_loans_csv(raw: DataFrame, path: str) -> None:
     """Write loans in the form ``read_loans_csv`` reads."""
     raw.select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).option(

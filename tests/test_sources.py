@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lendlens.__main__ import main
 from lendlens.operators.verify import load_checks
@@ -8,7 +9,7 @@ from lendlens.plans import marts
 from lendlens.plans.pipeline import check_marts, register_scored, run_pipeline, score_loans
 from lendlens.schema import RAW_COLUMNS, RAW_SCHEMA
 from lendlens.session import scratch_dir, shuffle_partitions
-from lendlens.sources.csv import read_loans_csv, write_loans_csv
+from lendlens.sources.csv import read_loans_csv, rejected_values, write_loans_csv
 from lendlens.sources.layers import LayerStore
 from tests.conftest import SF_DIR
 
@@ -59,6 +60,18 @@ def test_csv_round_trip(spark, raw):
     assert back.exceptAll(raw).count() == raw.exceptAll(back).count() == 0
 
 
+def test_rejected_values_are_those_that_the_reader_loses(spark, make_loans):
+    path = scratch_dir(spark, "csv")
+    loans = make_loans({"loan_amnt": 0}, {"loan_amnt": 1}, {"loan_amnt": 2, "person_age": None})
+    incomes = F.array(F.lit("50000"), F.lit("50,000"), F.lit("5e"))
+    text = loans.withColumn("person_income", incomes[F.col("loan_amnt")])
+    write_loans_csv(text.coalesce(1), path)
+    lost = read_loans_csv(spark, path).filter("person_income IS NULL").count()
+    found = {r.column_name: r.rejected for r in rejected_values(spark, path).collect()}
+    assert found.pop("person_income") == lost == 2
+    assert set(found.values()) == {0} and len(found) == 11
+
+
 def test_pipeline_writes_every_layer(spark, raw, clean):
     store = LayerStore(spark, scratch_dir(spark, "layers"))
     run_pipeline(raw, store)
