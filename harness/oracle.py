@@ -591,8 +591,10 @@ def _stages() -> dict[str, str]:
         ),
         "loan_features": statement("scored", "SELECT * FROM featured"),
         "risk_scores": statement("scored", "SELECT * FROM scored"),
+        "scored_view": statement("scored", "SELECT * FROM scored"),
         "load_raw": statement("scored", f"SELECT {upper} FROM scored"),
         "clean_layer": statement("clean", "SELECT * FROM clean"),
+        "clean_database": statement("clean", "SELECT * FROM clean"),
     }
 
 

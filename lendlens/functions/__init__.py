@@ -1 +0,0 @@
-"""Column builders."""

@@ -25,19 +25,12 @@ def histogram_by_class(
     values = df.select(
         F.col(class_column).alias("class"), F.col(column).cast("double").alias("x")
     ).filter(F.col("x").isNotNull() & F.col("class").isin(*classes))
-    bounds = values.agg(
-        F.struct(*[_class_bounds(value).alias(f"c{i}") for i, value in enumerate(classes)])
-    ).scalar()
-
-    def of_class(edge: str) -> Column:
-        """The lower or upper bound that belongs to the row's class."""
-        chosen = F.lit(None).cast("double")
-        for i, value in enumerate(classes):
-            chosen = F.when(F.col("class") == value, bounds[f"c{i}"][edge]).otherwise(chosen)
-        return chosen
+    by_class = [part for value in classes for part in (F.lit(value), _class_bounds(value))]
+    bounds = F.element_at(values.agg(F.create_map(*by_class)).scalar(), F.col("class"))
 
     counts = (
-        values.withColumns({"lo": of_class("lo"), "hi": of_class("hi")})
+        values.withColumn("bounds", bounds)
+        .select("class", "x", "bounds.*")
         .withColumn("near", _nearest_bin(bins))
         .groupBy("class", _exact_bin(bins).alias("bin"))
         .agg(F.count("*").alias("rows"))
@@ -48,7 +41,8 @@ def histogram_by_class(
     # The broadcast side has at most bins x classes rows.
     return (
         all_bins.join(F.broadcast(counts), ["class", "bin"], "left")
-        .withColumns({"lo": of_class("lo"), "hi": of_class("hi")})
+        .withColumn("bounds", bounds)
+        .select("class", "bin", "rows", "bounds.*")
         .select(
             F.col("class").alias(class_column),
             "bin",

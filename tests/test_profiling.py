@@ -35,3 +35,27 @@ def test_schema_report(spark):
     frame = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "a int, b string")
     report = [tuple(r) for r in profiling.schema_report(frame).collect()]
     assert report == [(0, "a", "int", 3, 2), (1, "b", "string", 3, 2)]
+
+
+def test_approximate_profile_is_close_and_exact_in_nulls(spark, raw):
+    exact, close = (
+        profile.collect()
+        for profile in (profiling.quality_profile(raw), profiling.approximate_profile(raw))
+    )
+    for e, c in zip(exact, close, strict=True):
+        assert (e.column_name, e.type, e.null_count, e.null_pct, e.status) == (
+            c.column_name,
+            c.type,
+            c.null_count,
+            c.null_pct,
+            c.status,
+        )
+        assert abs(e.distinct_values - c.distinct_values) <= 0.1 * e.distinct_values + 1
+
+
+def test_approximate_profile_of_an_empty_frame(spark):
+    rows = profiling.approximate_profile(spark.createDataFrame([], "a int, `b.c` string")).collect()
+    assert [(r.column_name, r.null_count, r.null_pct, r.distinct_values) for r in rows] == [
+        ("a", 0, None, 0),
+        ("b.c", 0, None, 0),
+    ]
