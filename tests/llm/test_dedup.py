@@ -166,6 +166,21 @@ def test_fuzzy_passages_are_found(spark):
     assert {r.doc_id for r in twice} == set(range(1, 20))
 
 
+def test_passages_with_even_edits_are_found(spark):
+    rng = np.random.default_rng(5)
+    docs, wanted = [], set()
+    for every in (10, 8, 7):
+        for k in range(40):
+            i = every * 1000 + 2 * k
+            own = [f"p{w}" for w in rng.integers(0, 10**6, 60)]
+            edited = [f"e{i}x{n}" if n % every == every - 1 else w for n, w in enumerate(own)]
+            around = [" ".join(f"f{w}" for w in rng.integers(0, 10**6, 40)) for _ in range(4)]
+            docs += [(i, " ".join([around[0], *own, around[1]])), (i + 1, " ".join([around[2], *edited, around[3]]))]
+            wanted.add((i + 1, i))
+    rows = passages.find_passages(frame(spark, docs)).collect()
+    assert {(r.doc_id, r.ref_doc_id) for r in rows} == wanted
+
+
 def test_passages_of_odd_rows(odd, none):
     assert passages.find_passages(odd).collect() == []
     assert passages.find_passages(none).collect() == []
