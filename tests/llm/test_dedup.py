@@ -181,6 +181,38 @@ def test_passages_with_even_edits_are_found(spark):
     assert {(r.doc_id, r.ref_doc_id) for r in rows} == wanted
 
 
+def brute_repeats(docs, span=50):
+    """Words of a document that stand in an exact repeat of ``span`` words of an earlier one."""
+    seen, result = {}, {}
+    for doc_id, text in sorted(docs):
+        words = text.split()
+        windows = [tuple(words[i : i + span]) for i in range(len(words) - span + 1)]
+        for i, window in enumerate(windows):
+            if seen.setdefault(window, doc_id) < doc_id:
+                result.setdefault(doc_id, set()).update(range(i, i + span))
+    return result
+
+
+def test_passages_whose_seeds_have_several_owners(spark):
+    rng = np.random.default_rng(6)
+
+    def words(n):
+        return [f"w{w}" for w in rng.integers(0, 10**6, n)]
+
+    docs = []
+    for i in (100, 200):  # 200: the parts of a second, longer passage stand in six documents
+        passage = words(60 if i == 100 else 90)
+        cuts = [(0, 30), (25, 60)] if i == 100 else [(0, 40), (30, 70), (60, 90), (0, 30), (25, 60), (50, 90)]
+        docs += [(i + k, " ".join(words(30) + passage[a:b] + words(30))) for k, (a, b) in enumerate(cuts)]
+        docs += [(i + k, " ".join(words(30) + passage + words(30))) for k in (10, 11, 12)]
+    wanted = brute_repeats(docs)
+    assert set(wanted) == {111, 112, 211, 212}
+    found = {}
+    for r in passages.find_passages(frame(spark, docs)).collect():
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert {i: places <= found.get(i, set()) for i, places in wanted.items()} == dict.fromkeys(wanted, True)
+
+
 def test_passages_of_odd_rows(odd, none):
     assert passages.find_passages(odd).collect() == []
     assert passages.find_passages(none).collect() == []
