@@ -1,10 +1,10 @@
 """Benchmark decontamination by template canonicalisation; DataFrame operations only.
 
 Numbers, names and units become typed placeholders, so a question with other values has the same
-template. Windows of five template words are hashed; a document that has most windows of an item
+template. A capitalised word that need not be a name has two forms, the word and a name. Windows of five template words are hashed; a document that has most windows of an item
 is a candidate. For candidates, windows are aligned by position, and a window counts only if the
 values in its slots are consistent: along one alignment, equal values of the item stand for equal
-values in the document. What is left must still cover the item.
+values in the document. A shorter item is one window. What is left must still cover the item.
 """
 
 from __future__ import annotations
@@ -18,57 +18,79 @@ WINDOW = 5
 LEAST_COVER = 0.8
 LITERAL_WORDS = 2
 # Placeholder marks (private-use characters) and unit words.
-NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
+NUMBER, UNIT, NAME, MAYBE = "\ue001", "\ue002", "\ue003", "\ue004"
 UNITS = (
     "km|kilometers?|kilometres?|cm|mm|m|meters?|metres?|miles?|feet|foot|ft|inch(?:es)?|yards?|kg|"
     "kilograms?|mg|g|grams?|lbs?|pounds?|oz|ounces?|tons?|ml|l|liters?|litres?|gallons?|seconds?|"
     "minutes?|hours?|days?|weeks?|months?|years?|percent|dollars?|cents?|euros?|mph|degrees?"
 )
-_NAME = r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}+)"
+_NAME = r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{M}])"
+_MAYBE = rf"(?<![{NUMBER}-{MAYBE}\p{{L}}\p{{M}}])(\p{{Lu}}[\p{{L}}\p{{M}}]*)"
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
-_VALUE = rf"{NUMBER}\p{{N}}+(?:[.,]\p{{N}}+)*|[{UNIT}{NAME}]\p{{L}}+|[\p{{L}}\p{{M}}]+"
-_BARE = rf"[{NUMBER}{UNIT}{NAME}]|[\p{{L}}\p{{M}}]+"
+_VALUE = rf"{NUMBER}\p{{N}}+(?:[.,]\p{{N}}+)*|[{UNIT}-{MAYBE}][\p{{L}}\p{{M}}]+|[\p{{L}}\p{{M}}]+"
 ROW = ["doc_id", "fold"]
 
 
-def _template_words(text: Column) -> Column:
-    """Words of the template: placeholders without values, other words in lower case."""
-    text = F.regexp_replace(text, f"[{NUMBER}-{NAME}]", " ")
-    text = F.regexp_replace(text, _NAME, NAME)
-    text = F.regexp_replace(text, _NUMBER, f" {NUMBER} ")
-    text = F.regexp_replace(text, rf"(?i)(?<={NUMBER} ) *(?:{UNITS})(?![\p{{L}}\p{{M}}])", UNIT)
-    return F.regexp_extract_all(F.lower(text), F.lit(_BARE), F.lit(0))
-
-
 def _valued_words(text: Column) -> Column:
-    """The same words with the values kept behind the placeholders."""
-    text = F.regexp_replace(text, f"[{NUMBER}-{NAME}]", " ")
+    """Words of the template in lower case, the values behind the placeholders."""
+    text = F.regexp_replace(text, f"[{NUMBER}-{MAYBE}]", " ")
     text = F.regexp_replace(text, _NAME, f"{NAME}$1")
     text = F.regexp_replace(text, _NUMBER, f" {NUMBER}$1 ")
     text = F.regexp_replace(
-        text, rf"(?i)(?<=\p{{N}} ) *({UNITS})(?![\p{{L}}\p{{M}}])", f"{UNIT}$1"
+        text, rf"(?i)(?<=\p{{N}} )\s*({UNITS})(?![\p{{L}}\p{{M}}])", f"{UNIT}$1"
     )
+    text = F.regexp_replace(text, _MAYBE, f"{MAYBE}$1")
     return F.regexp_extract_all(F.lower(text), F.lit(_VALUE), F.lit(0))
 
 
-def _is_slot(word: Column) -> Column:
-    return F.substring(word, 1, 1).between(NUMBER, NAME)
+def _mark(word: Column) -> Column:
+    return F.substring(word, 1, 1)
 
 
-def _windows(words: Column) -> Column:
-    """Hashes of all windows, from hashed words; empty where there are too few words."""
+def _is_name(word: Column) -> Column:
+    return _mark(word).isin(NAME, MAYBE)
 
-    def at(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - WINDOW),
-            lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)]),
-        )
 
-    return F.when(F.size(words) >= WINDOW, at(words)).otherwise(F.array().cast("array<bigint>"))
+def _key(word: Column) -> Column:
+    """A value that compares: names and other words alike, whatever their case was."""
+    bare = F.when(_is_name(word), word.substr(F.lit(2), F.length(word))).otherwise(word)
+    return F.when(_mark(word).isin(NUMBER, UNIT), word).otherwise(F.concat(F.lit(NAME), bare))
 
 
 def _hashed(words: Column) -> Column:
-    return F.transform(words, lambda word: F.xxhash64(word))
+    """Words as hashes of their literal form, and whether a word may also be a name."""
+
+    def one(word: Column) -> Column:
+        literal = F.when(_mark(word).isin(NUMBER, UNIT), _mark(word))
+        literal = literal.when(_is_name(word), word.substr(F.lit(2), F.length(word))).otherwise(word)
+        return F.struct(F.xxhash64(literal).alias("hash"), _is_name(word).cast("int").alias("name"))
+
+    return F.transform(words, one)
+
+
+def _windows(words: Column, width: int) -> Column:
+    """For each window the hashes of all its forms; empty where there are too few words."""
+    name = F.xxhash64(F.lit(NAME))
+
+    def at(i: Column) -> Column:
+        own = [F.get(words, i + k) for k in range(width)]
+        plain = F.xxhash64(*[word["hash"] for word in own])
+        names = sum((word["name"] * (1 << k) for k, word in enumerate(own)), F.lit(0))
+
+        def form(chosen: Column) -> Column:
+            return F.xxhash64(
+                *[F.when(chosen.bitwiseAND(1 << k) != 0, name).otherwise(w["hash"]) for k, w in enumerate(own)]
+            )
+
+        forms = F.filter(
+            F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda chosen: chosen.bitwiseAND(names) == chosen
+        )
+        return F.when(names == 0, F.array(plain)).otherwise(F.transform(forms, form))
+
+    places = F.sequence(F.lit(0), F.size(words) - width)
+    return F.when(F.size(words) >= width, F.transform(places, at)).otherwise(
+        F.array().cast("array<array<bigint>>")
+    )
 
 
 def _row_key(docs: DataFrame) -> DataFrame:
@@ -76,7 +98,9 @@ def _row_key(docs: DataFrame) -> DataFrame:
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, n_windows, at, hash, values, strict``; strict items have too few literal words."""
+    """``item, n_windows, width, at, hash, values, strict, semi``; strict items have too few literal
+    words, semi-strict ones without those that may be names.
+    """
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -84,32 +108,39 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
     items = items.withColumn("item", F.struct("item_id", F.xxhash64("text").alias("fold")))
     items = items.select(
         "item",
-        _template_words(F.col("text")).alias("words"),
         _valued_words(F.col("text")).alias("values"),
     ).distinct()
-    items = items.withColumn("literal", F.size(F.filter("words", lambda w: ~_is_slot(w))))
-    windows = items.withColumn("hashes", _hashed(F.col("words")))
+    items = items.withColumn("literal", F.size(F.filter("values", lambda w: ~_mark(w).between(NUMBER, MAYBE))))
+    items = items.withColumn("maybe", F.size(F.filter("values", lambda w: _mark(w) == MAYBE)))
+    items = items.withColumn("width", F.least(F.size("values"), F.lit(WINDOW)))
+    windows = items.withColumn("hashes", _hashed(F.col("values")))
+    forms = F.array().cast("array<array<bigint>>")
+    for width in range(1, WINDOW + 1):
+        forms = F.when(F.col("width") == width, _windows(F.col("hashes"), width)).otherwise(forms)
     windows = windows.select(
         "item",
-        F.greatest(F.size("words") - WINDOW + 1, F.lit(0)).alias("n_windows"),
-        (F.col("literal") < LITERAL_WORDS).alias("strict"),
+        (F.size("values") - F.col("width") + 1).alias("n_windows"),
+        (F.col("literal") + F.col("maybe") < LITERAL_WORDS).alias("strict"),
+        (F.col("literal") < LITERAL_WORDS).alias("semi"),
         "values",
-        F.posexplode(_windows(F.col("hashes"))).alias("at", "hash"),
+        "width",
+        F.posexplode(forms).alias("at", "forms"),
     )
+    windows = windows.withColumn("hash", F.explode("forms")).drop("forms")
     return stored(
         windows.withColumn("values", F.slice("values", F.col("at") + 1, WINDOW)), "item-windows"
     )
 
 
-def _candidates(docs: DataFrame, items: DataFrame, least_cover: float) -> DataFrame:
+def _candidates(docs: DataFrame, items: DataFrame, widths: list[int], least_cover: float) -> DataFrame:
     """Documents with at least the share ``least_cover`` of an item's windows, at any place.
 
-    A document's window hashes are distinct before the join. Spark broadcasts the item windows only
+    A document's window hashes are distinct before the join. Windows with two forms may count twice here. Spark broadcasts the item windows only
     if their stored size is under its threshold; beyond, the join shuffles.
     """
-    hashes = docs.select(*ROW, _template_words(F.col("text")).alias("words"))
-    hashes = hashes.select(*ROW, _hashed(F.col("words")).alias("words"))
-    hashes = hashes.select(*ROW, F.explode(F.array_distinct(_windows(F.col("words")))).alias("hash"))
+    hashes = docs.select(*ROW, _hashed(_valued_words(F.col("text"))).alias("words"))
+    forms = F.flatten(F.concat(*[_windows(F.col("words"), width) for width in widths]))
+    hashes = hashes.select(*ROW, F.explode(F.array_distinct(forms)).alias("hash"))
     wanted = items.groupBy("hash", "item", "n_windows").agg(F.count("*").alias("places"))
     found = hashes.join(stored(wanted, "item-hashes"), "hash")
     covered = found.groupBy(*ROW, "item", "n_windows").agg(
@@ -123,36 +154,57 @@ def find_contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, n_windows, n_covered, cover``: a row per contaminated document and item.
 
-    Documents without a finding have no row. NULL and empty texts, and items or documents of under
-    five words, have no window and are never found. An item with under two literal words is found
+    Documents without a finding have no row. NULL and empty texts have no window and are
+    never found; an item of under five words is one window. An item with under two literal words is found
     only with its own values. Repeated rows give one finding; a NULL ``doc_id`` is an id like
     others. Texts are searched whole.
     """
     docs = _row_key(docs)
     items = _item_windows(benchmark)
     found = docs.select(*ROW, "text")
-    pairs = stored(_candidates(found, items, least_cover).distinct(), "leak-candidates")
+    widths = sorted(row.width for row in items.select("width").distinct().collect()) or [WINDOW]
+    pairs = stored(_candidates(found, items, widths, least_cover).distinct(), "leak-candidates")
     wanted = pairs.select(F.col("doc_id").alias("_id"), F.col("fold").alias("_fold")).distinct()
     same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (docs["fold"] == wanted["_fold"])
     texts = docs.join(wanted, same, "left_semi").dropDuplicates(ROW)
-    words = texts.select(
-        *ROW,
-        _hashed(_template_words(F.col("text"))).alias("hashes"),
-        _valued_words(F.col("text")).alias("doc_values"),
-    )
-    places = words.select(
-        *ROW, "doc_values", F.posexplode(_windows(F.col("hashes"))).alias("place", "hash")
-    )
+    words = texts.select(*ROW, _valued_words(F.col("text")).alias("doc_values"))
+    words = words.withColumn("hashes", _hashed(F.col("doc_values")))
+    places = None
+    for width in widths:
+        one = words.select(
+            *ROW, "doc_values", F.posexplode(_windows(F.col("hashes"), width)).alias("place", "forms")
+        )
+        places = one if places is None else places.unionByName(one)
+    places = places.withColumn("hash", F.explode("forms")).drop("forms")
+    both = F.arrays_zip("item_values", "doc_values")
     aligned = places.join(items, "hash").select(
         *ROW,
         "item",
         "n_windows",
         "strict",
+        "semi",
         "at",
         (F.col("place") - F.col("at")).alias("line"),
         F.col("values").alias("item_values"),
-        F.slice("doc_values", F.col("place") + 1, WINDOW).alias("doc_values"),
+        F.slice("doc_values", F.col("place") + 1, F.col("width")).alias("doc_values"),
     )
+
+    def slot(s: Column) -> Column:
+        other = _key(s["item_values"]) != _key(s["doc_values"])
+        maybe = _mark(s["item_values"]) == MAYBE
+        return F.struct(
+            _key(s["item_values"]).alias("value"),
+            _key(s["doc_values"]).alias("doc_value"),
+            (other & (F.col("strict") | (F.col("semi") & maybe))).alias("other"),
+        )
+
+    def bound(s: Column) -> Column:
+        """A word that may be a name is a slot where the document has another word."""
+        other = _key(s["item_values"]) != _key(s["doc_values"])
+        return _mark(s["item_values"]).between(NUMBER, NAME) | ((_mark(s["item_values"]) == MAYBE) & other)
+
+    aligned = aligned.withColumn("slots", F.transform(F.filter(both, bound), slot))
+    aligned = aligned.drop("strict", "semi", "item_values", "doc_values").distinct()
     pair_key = pairs.select(
         F.col("doc_id").alias("_id"), F.col("fold").alias("_fold"), F.col("item").alias("_item")
     )
@@ -163,20 +215,7 @@ def find_contaminated(
     )
     aligned = stored(aligned.join(pair_key, same, "left_semi"), "alignments")
     line = [*ROW, "item", "line"]
-    slots = aligned.select(
-        *line,
-        "at",
-        "strict",
-        F.explode_outer(
-            F.filter(F.arrays_zip("item_values", "doc_values"), lambda s: _is_slot(s["item_values"]))
-        ).alias("slot"),
-    )
-    slots = slots.select(
-        *line,
-        F.col("slot.item_values").alias("value"),
-        (F.col("strict") & (F.col("slot.item_values") != F.col("slot.doc_values"))).alias("other"),
-        F.col("slot.doc_values").alias("doc_value"),
-    ).filter(F.col("value").isNotNull())
+    slots = aligned.select(*line, F.explode("slots").alias("slot")).select(*line, "slot.*")
     bad = (
         slots.groupBy(*line, "value")
         .agg(
@@ -196,7 +235,7 @@ def find_contaminated(
         & (aligned["line"] == bad["_line"])
     )
     consistent = aligned.join(bad, same, "left").filter(
-        F.col("bad").isNull() | ~F.arrays_overlap("item_values", "bad")
+        F.col("bad").isNull() | ~F.arrays_overlap("slots.value", "bad")
     )
     cover = F.count_distinct("at")
     return (

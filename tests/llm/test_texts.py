@@ -188,6 +188,25 @@ def test_leaks_with_other_values(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
 
 
+def test_leaks_with_names_at_any_place(spark):
+    item = "Janet has 12 ducks. Janet sells 5 eggs a day. How many eggs does Janet have after 3 days?"
+    benchmark = spark.createDataFrame([(1, item), (2, "Name the largest planet"), (3, None)], "item_id long, text string")
+    filler = "entirely other words stand here in no particular order"
+    docs = [
+        (1, item),
+        (2, f"{filler}.\n{item.replace('Janet', 'Maria')}"),
+        (3, f'"{item.replace("Janet", "Maria").replace(" ", chr(10))}" {filler}'),
+        (4, item.lower()),
+        (5, item.replace("Janet", "Maria", 1).replace("Janet", "Susan", 1)),
+        (6, f"{filler}: name the largest planet"),
+        (7, f"{filler}: name the smallest planet"),
+        (8, filler),
+    ]
+    rows = decontaminate.find_contaminated(frame(spark, docs), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 1), (3, 1), (4, 1), (6, 2)}
+    assert all(r.n_covered == r.n_windows for r in rows)
+
+
 def test_leaks_of_odd_and_no_rows(spark, odd, none):
     benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     assert decontaminate.find_contaminated(odd, benchmark).collect() == []
