@@ -1,8 +1,7 @@
 """Language ID by interpolated Kneser-Ney character models, one per language.
 
-Character 4-grams of all labelled training rows are counted in Spark. The most frequent
-``max_grams`` of them (a documented bound on the classifier's size) make the models: highest-order
-counts, and below them counts of distinct left contexts. Each order is one sorted array of n-gram
+Character 4-grams of all labelled training rows are counted in Spark. All counts make the models:
+highest-order counts, and below them counts of distinct left contexts. Each order is one sorted array of n-gram
 hashes with a column per language. A text goes to the language with the lowest cross-entropy per
 character. It is rejected if that exceeds the language's training level by more than its length
 explains; the level and spread come from all training rows.
@@ -23,7 +22,6 @@ from lendlens.llm.common import batch_of, slices, stored
 
 ORDER = 4
 DISCOUNT = 0.75
-MAX_GRAMS = 300_000
 REJECT_SPREADS = 16.0
 CALIBRATION_CHARS = 400
 UNKNOWN = "und"
@@ -184,8 +182,8 @@ def fold(docs: DataFrame) -> Column:
     return F.crc32(text.cast("binary")) % 4
 
 
-def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Models:
-    """Fit on labelled rows of the two fitting folds; at most ``max_grams`` counts reach the driver."""
+def train(docs: DataFrame) -> Models:
+    """Fit on labelled rows of the two fitting folds; a count per language and 4-gram reaches the driver."""
     fitting = ~fold(docs).isin(HELD_OUT, CALIBRATION)
     labelled = docs.filter(fitting & F.col("lang").isNotNull())
     counts = (
@@ -193,8 +191,6 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Models:
         .mapInArrow(_count, "lang string, gram string, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "lang", "gram")
-        .limit(max_grams)
     )
     return Models([tuple(row) for row in counts.collect()])
 
@@ -220,7 +216,7 @@ def _score(models: Models):
     return run
 
 
-def identify(docs: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
+def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, entropy, rejected`` for every row.
 
     ``lang_pred`` is a learned language, or ``und`` (score 0, rejected) where the text is NULL or
@@ -228,7 +224,7 @@ def identify(docs: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
     are scored. Repeated rows get equal answers. ``lang`` is used to train and calibrate only.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    models = train(docs, max_grams)
+    models = train(docs)
     rows = docs.select("doc_id", fold(docs).alias("fold"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     scored = stored(rows.mapInArrow(_score(models), _SCORES_DDL), "language-scores")
     learned = scored.filter((F.col("fold") == CALIBRATION) & (F.col("lang") == F.col("lang_pred")))

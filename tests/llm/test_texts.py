@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -103,6 +104,17 @@ def test_languages_of_odd_rows(odd, none):
     assert language_id.identify(none).collect() == []
 
 
+def test_a_small_language_keeps_its_counts(spark):
+    rng = np.random.default_rng(4)
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 < 2]
+    rows = [(i, "".join(chr(97 + k) for k in rng.integers(0, 26, 50_000)), "big") for i in ids[:60]]
+    rows.append((ids[60], "жили были дед да баба", "small"))
+    models = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.langs == ["big", "small"]
+    assert len(models.prob[0][0]) > 400_000
+    assert models.entropies(["дед да баба "])[0].argmin() == 1
+
+
 def test_model_probabilities_sum_to_one():
     counts = language_id._count([])
     assert list(counts) == []
