@@ -4,7 +4,7 @@ Character 4-grams of all labelled training rows are counted in Spark. All counts
 highest-order counts, and below them counts of distinct left contexts. Each order is one sorted array of n-gram
 hashes with a column per language. A text goes to the language with the lowest cross-entropy per
 character. It is rejected if that exceeds the language's training level by more than its length
-explains; the level and spread come from all training rows.
+explains; the level and spread come from the calibration fold, pooled where a language has few rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ ORDER = 4
 DISCOUNT = 0.75
 REJECT_SPREADS = 16.0
 CALIBRATION_CHARS = 400
+LEAST_CALIBRATION = 30
 UNKNOWN = "und"
 FLUSH_GRAMS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -216,6 +217,37 @@ def _score(models: Models):
     return run
 
 
+def _levels(scored: DataFrame, langs: list[str]) -> DataFrame:
+    """``lang_pred, level, spread`` of every language, from the rows that the calibration fold has right.
+
+    With under ``LEAST_CALIBRATION`` of them a language's spread is the pooled one at least; with
+    none its level is the highest of all. With so few over all languages, the level of such a
+    language is NULL and rejects nothing.
+    """
+    learned = scored.filter((F.col("fold") == CALIBRATION) & (F.col("lang") == F.col("lang_pred")))
+    weight = F.least("n_chars", F.lit(CALIBRATION_CHARS))
+    entropy = F.col("entropy")
+    level = F.avg(entropy)
+    square = F.avg(entropy * entropy * weight) - 2 * level * F.avg(entropy * weight) + level * level * F.avg(weight)
+    own = learned.groupBy("lang_pred").agg(
+        F.count("*").alias("n"), level.alias("level"), F.greatest(square, F.lit(0.0)).alias("square")
+    )
+    own = stored(own, "language-own-levels")
+    pooled = own.agg(
+        F.sum("n").alias("all_n"),
+        F.max("level").alias("top"),
+        (F.sum(F.col("n") * F.col("square")) / F.sum("n")).alias("pooled"),
+    )
+    names = own.sparkSession.createDataFrame([(lang,) for lang in langs], "lang_pred string")
+    few = F.coalesce(F.col("n"), F.lit(0)) < LEAST_CALIBRATION
+    known = ~few | (F.col("all_n") >= LEAST_CALIBRATION)
+    return names.join(own, "lang_pred", "left").crossJoin(pooled).select(
+        "lang_pred",
+        F.when(known, F.coalesce("level", "top")).alias("level"),
+        F.sqrt(F.when(few, F.greatest("square", "pooled")).otherwise(F.col("square"))).alias("spread"),
+    )
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, entropy, rejected`` for every row.
 
@@ -227,15 +259,8 @@ def identify(docs: DataFrame) -> DataFrame:
     models = train(docs)
     rows = docs.select("doc_id", fold(docs).alias("fold"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     scored = stored(rows.mapInArrow(_score(models), _SCORES_DDL), "language-scores")
-    learned = scored.filter((F.col("fold") == CALIBRATION) & (F.col("lang") == F.col("lang_pred")))
-    weight = F.least("n_chars", F.lit(CALIBRATION_CHARS))
-    width, entropy = F.sqrt(weight), F.col("entropy")
-    level = F.avg(entropy)
-    square = F.avg(entropy * entropy * weight) - 2 * level * F.avg(entropy * weight) + level * level * F.avg(weight)
-    spread = learned.groupBy("lang_pred").agg(
-        level.alias("level"), F.sqrt(F.greatest(square, F.lit(0.0))).alias("spread")
-    )
-    limit = F.col("level") + REJECT_SPREADS * F.col("spread") / width
+    spread = _levels(scored, models.langs)
+    limit = F.col("level") + REJECT_SPREADS * F.col("spread") / F.sqrt(F.least("n_chars", F.lit(CALIBRATION_CHARS)))
     spread = stored(spread, "language-levels")  # a row per language; small ones are broadcast
     return scored.join(spread, "lang_pred", "left").select(
         "doc_id",

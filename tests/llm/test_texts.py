@@ -115,6 +115,16 @@ def test_a_small_language_keeps_its_counts(spark):
     assert models.entropies(["дед да баба "])[0].argmin() == 1
 
 
+def test_levels_of_languages_with_few_calibration_rows(spark):
+    rows = [(3, "a", "a", 100, 2.0 + (i % 5) / 10) for i in range(50)] + [(3, "b", "b", 100, 3.0)]
+    scored = spark.createDataFrame(rows, "fold int, lang string, lang_pred string, n_chars long, entropy double")
+    found = {r.lang_pred: r for r in language_id._levels(scored, ["a", "b", "c"]).collect()}
+    assert found["b"].level == 3.0 and found["c"].level == 3.0
+    assert 0 < found["b"].spread == found["c"].spread <= found["a"].spread
+    alone = language_id._levels(scored.filter("lang = 'b'"), ["b", "c"]).collect()
+    assert [r.level for r in alone] == [None, None]
+
+
 def test_model_probabilities_sum_to_one():
     counts = language_id._count([])
     assert list(counts) == []
