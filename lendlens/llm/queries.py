@@ -11,6 +11,7 @@ from lendlens.llm import (
     block_naming,
     bpe,
     chat_tree,
+    class_model,
     decontaminate,
     language_id,
     licenses,
@@ -66,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": _leaks,
         "op9_previous_factors": _documents(suffixes.repeat_digests),
         "op10_bpe_round_trip": _documents(_tokens),
+        "op11_class_lm": _documents(class_model.score_texts),
     }
 
 
