@@ -16,6 +16,8 @@ from lendlens.llm import (
     language_id,
     licenses,
     passages,
+    ranked_search,
+    repair,
     secrets,
     simhash,
     suffixes,
@@ -55,6 +57,14 @@ def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tree.chat_digests(rows.unionByName(more))
 
 
+def _repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audit(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _documents(secrets.secret_digests),
@@ -68,6 +78,8 @@ def queries() -> dict[str, Query]:
         "op9_previous_factors": _documents(suffixes.repeat_digests),
         "op10_bpe_round_trip": _documents(_tokens),
         "op11_class_lm": _documents(class_model.score_texts),
+        "op12_conversation_repair": _repair,
+        "op13_ranked_search": _search,
     }
 
 
@@ -82,4 +94,37 @@ def oracle_sql() -> dict[str, str]:
             FROM documents
             WINDOW same AS (PARTITION BY coalesce(text, ''))
         """,
+        "op13_ranked_search": r"""
+            WITH cut AS (
+                SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+                FROM documents
+            ), sizes AS (
+                SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM cut WHERE len(terms) > 0
+            ), items AS (
+                SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark
+            ), words AS (
+                SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM cut
+            ), postings AS (
+                SELECT doc, doc_id, n, term, count(*) AS tf
+                FROM words WHERE term IN (SELECT term FROM items) GROUP BY ALL
+            ), weights AS (
+                SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+                FROM postings, sizes GROUP BY term
+            ), scores AS (
+                SELECT item_id, doc, doc_id, sum(w * ((1000000000 * tf)
+                    // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+                FROM items JOIN postings USING (term) JOIN weights USING (term), sizes
+                GROUP BY item_id, doc, doc_id
+            ), ranked AS (
+                SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
+                    doc_id, score
+                FROM scores WHERE score > 0
+            )
+            SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+        """,
     }
