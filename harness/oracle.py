@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-RAW_COLUMNS = """person_age person_income person_home_ownership person_emp_length loan_intent
-loan_grade loan_amnt loan_int_rate loan_status loan_percent_income cb_person_default_on_file
-cb_person_cred_hist_length""".split()
+RAW_COLUMNS = [
+    "person_age",
+    "person_income",
+    "person_home_ownership",
+    "person_emp_length",
+    "loan_intent",
+    "loan_grade",
+    "loan_amnt",
+    "loan_int_rate",
+    "loan_status",
+    "loan_percent_income",
+    "cb_person_default_on_file",
+    "cb_person_cred_hist_length",
+]
 
 RAW_CTES = """
 keyed AS (
@@ -412,28 +423,28 @@ def _dashboards() -> dict[str, str]:
     }
 
 
-def _histogram(column: str, bins: int, by_status: bool = False) -> str:
+def _histogram(column: str, bins: int, by_status: bool = False, source: str = "raw") -> str:
     """Counts by comparing every value with every pair of bin edges."""
     key = "loan_status" if by_status else "0"
     lo = f"CASE WHEN min({column}) = max({column}) THEN min({column}) - 0.5e0 ELSE CAST(min({column}) AS DOUBLE) END"
     hi = f"CASE WHEN min({column}) = max({column}) THEN max({column}) + 0.5e0 ELSE CAST(max({column}) AS DOUBLE) END"
     ctes = f"""
 bounds AS (
-  SELECT {key} AS cls, {lo} AS lo, {hi} AS hi FROM raw WHERE {column} IS NOT NULL GROUP BY cls
+  SELECT {key} AS cls, {lo} AS lo, {hi} AS hi FROM {source} WHERE {column} IS NOT NULL GROUP BY cls
 ), bins AS (
   SELECT cls, CAST(i AS INTEGER) AS bin, i * ((hi - lo) / {bins}) + lo AS bin_lo,
     CASE WHEN i = {bins - 1} THEN hi ELSE (i + 1) * ((hi - lo) / {bins}) + lo END AS bin_hi
   FROM bounds, range({bins}) AS r(i)
 ), vals AS (
   SELECT {key} AS cls, CAST({column} AS DOUBLE) AS x, count(*) AS n
-  FROM raw WHERE {column} IS NOT NULL GROUP BY ALL
+  FROM {source} WHERE {column} IS NOT NULL GROUP BY ALL
 )"""
     output = "bins.cls AS loan_status, " if by_status else ""
     body = f"""SELECT {output}bin, bin_lo, bin_hi, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
 FROM bins LEFT JOIN vals ON vals.cls = bins.cls AND x >= bin_lo
   AND (x < bin_hi OR (bin = {bins - 1} AND x <= bin_hi))
 GROUP BY bins.cls, bin, bin_lo, bin_hi"""
-    return statement("raw", body, ctes)
+    return statement(source, body, ctes)
 
 
 RAW_TYPES = dict(
@@ -503,6 +514,8 @@ def _reports() -> dict[str, str]:
         "loan_amount_histogram": _histogram("loan_amnt", 40),
         "age_histogram": _histogram("person_age", 30),
         "rate_histogram_by_status": _histogram("loan_int_rate", 30, by_status=True),
+        "stored_amount_histogram": _histogram("loan_amnt", 40, source="scored"),
+        "stored_rate_histogram": _histogram("loan_int_rate", 30, by_status=True, source="scored"),
         "executive_summary": statement(
             "raw",
             "SELECT *, "
@@ -577,6 +590,13 @@ def _stages() -> dict[str, str]:
                 }.items()
             ),
         ),
+        "csv_rejected_records": statement(
+            "raw",
+            "SELECT rejected, count(*) AS records FROM (SELECT concat_ws(',', "
+            "CASE WHEN person_age % 10 = 0 THEN 'person_age' END, "
+            "CASE WHEN loan_grade = 'A' AND person_income >= 1000 THEN 'person_income' END) AS rejected "
+            "FROM raw) WHERE rejected <> '' GROUP BY rejected",
+        ),
         "dedup_loans": statement("cleaning", "SELECT * FROM deduped"),
         "drop_missing": statement("cleaning", "SELECT * FROM complete"),
         "filter_outliers": statement("cleaning", "SELECT * FROM plausible"),
@@ -595,6 +615,7 @@ def _stages() -> dict[str, str]:
         "load_raw": statement("scored", f"SELECT {upper} FROM scored"),
         "clean_layer": statement("clean", "SELECT * FROM clean"),
         "clean_database": statement("clean", "SELECT * FROM clean"),
+        "clean_restated_tier": statement("clean", "SELECT * FROM clean"),
     }
 
 
@@ -618,4 +639,11 @@ def _marts() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    return {**_stages(), **_reports(), **_marts(), **_business(), **_dashboards()}
+    every = {**_stages(), **_reports(), **_marts(), **_business(), **_dashboards()}
+    segment = f"SELECT * FROM ({every['q05_risk_segments']}) WHERE segment = 'High Risk'"
+    pages = ("portfolio_kpis", "loan_performance", "customer_segments")
+    return {
+        **every,
+        "stored_risk_segment": segment,
+        **{f"stored_{page}": every[f"dash_{page}"] for page in pages},
+    }

@@ -1,4 +1,4 @@
-"""Run the whole batch flow: ``python -m lendlens CSV_PATH BASE_DIR [--databases PREFIX]``.
+"""Run the whole batch flow: ``python -m lendlens CSV_PATH BASE_DIR [--databases PREFIX] [--keep N]``.
 
 With ``--databases`` the written tables are also registered as ``PREFIXraw``, ``PREFIXclean`` and
 ``PREFIXanalytics``, for SQL.
@@ -11,10 +11,10 @@ import argparse
 from pyspark.sql import SparkSession
 
 from lendlens.plans.marts import MARTS
-from lendlens.plans.pipeline import run_pipeline
+from lendlens.plans.pipeline import REJECTS, quarantine, run_pipeline
 from lendlens.plans.portfolio import tier_distribution
 from lendlens.operators.verify import count_rows
-from lendlens.sources.csv import read_loans_csv
+from lendlens.sources.csv import read_loans_csv, rejected_records
 from lendlens.sources.layers import LOANS, LayerStore
 
 
@@ -24,12 +24,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("base", help="folder for the raw, clean and analytics layers")
     parser.add_argument("--databases", metavar="PREFIX", help="also register the tables for SQL")
     parser.add_argument("--strict", action="store_true", help="stop at a value that does not parse")
+    parser.add_argument("--keep", type=int, metavar="N", help="remove all but N versions of a table")
     args = parser.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("lendlens").getOrCreate()
     store = LayerStore(spark, args.base)
     raw = read_loans_csv(spark, args.csv, mode="FAILFAST" if args.strict else "PERMISSIVE")
     run_pipeline(raw, store)
+    if not args.strict:
+        quarantine(rejected_records(spark, args.csv), store)
+    if args.keep:
+        for layer, table in [("raw", LOANS), ("raw", REJECTS), ("clean", LOANS), *(("analytics", name) for name in MARTS)]:
+            store.keep_versions(layer, table, args.keep)
     if args.databases is not None:
         store.create_namespaces(args.databases)
         tables = [("raw", LOANS), ("clean", LOANS), *(("analytics", name) for name in MARTS)]

@@ -5,55 +5,75 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.sources.constants import literal_rows
 
-
-def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+def histogram(
+    df: DataFrame, column: str, bins: int, bounds: tuple | None = None
+) -> DataFrame:
     """(bin, bin_lo, bin_hi, rows) for every bin, empty ones included; NULLs are left out."""
     one_class = df.withColumn("_all", F.lit(0))
-    return histogram_by_class(one_class, column, bins, "_all", [0]).drop("_all")
+    known = None if bounds is None else {0: bounds}
+    return histogram_by_class(one_class, column, bins, "_all", [0], known).drop("_all")
 
 
 def histogram_by_class(
-    df: DataFrame, column: str, bins: int, class_column: str, classes: list[int]
+    df: DataFrame,
+    column: str,
+    bins: int,
+    class_column: str,
+    classes: list[int],
+    bounds: dict[int, tuple] | None = None,
 ) -> DataFrame:
     """A histogram per listed class value, each between the class's own minimum and maximum.
 
-    Two column-pruned scans: one aggregate for the bounds, and one count per bin that reads the
-    bounds as a scalar subquery, so no row-level join or shuffle is needed for any data size.
+    With ``bounds``, the least and greatest value of each class as ``LayerStore.bounds`` has them from
+    file footers, there is one column-pruned scan: a count per bin. Without, a first scan finds the bounds, which
+    the count reads as a scalar subquery. No row-level join or shuffle, for any data size.
     """
     values = df.select(
         F.col(class_column).alias("class"), F.col(column).cast("double").alias("x")
     ).filter(F.col("x").isNotNull() & F.col("class").isin(*classes))
-    by_class = [part for value in classes for part in (F.lit(value), _class_bounds(value))]
-    bounds = F.element_at(values.agg(F.create_map(*by_class)).scalar(), F.col("class"))
-
+    if bounds is None:
+        by_class = [part for value in classes for part in (F.lit(value), _class_bounds(value))]
+        ranges = values.agg(F.create_map(*by_class)).scalar()
+    else:
+        by_class = [part for value in classes for part in (F.lit(value), _known_bounds(bounds.get(value)))]
+        ranges = F.create_map(*by_class)
     counts = (
-        values.withColumn("bounds", bounds)
+        values.withColumn("bounds", F.element_at(ranges, F.col("class")))
         .select("class", "x", "bounds.*")
         .withColumn("near", _nearest_bin(bins))
         .groupBy("class", _exact_bin(bins).alias("bin"))
         .agg(F.count("*").alias("rows"))
     )
-    all_bins = literal_rows(
-        df.sparkSession, "class int, bin int", [(c, i) for c in classes for i in range(bins)]
-    )
-    # The broadcast side has at most bins x classes rows.
+    # One row with at most bins x classes counts; its bins are then laid out in order.
+    pairs = F.collect_list(F.struct(F.struct("class", "bin"), "rows"))
+    found = counts.agg(F.map_from_entries(pairs).alias("counts"))
+    at = F.struct("class", "bin")
     return (
-        all_bins.join(F.broadcast(counts), ["class", "bin"], "left")
-        .withColumn("bounds", bounds)
+        found.select(F.explode(F.array(*map(F.lit, classes))).alias("class"), "counts")
+        .select("class", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "counts")
+        .select("class", "bin", F.coalesce(F.try_element_at("counts", at), F.lit(0)).alias("rows"))
+        .withColumn("bounds", F.element_at(ranges, F.col("class")))
         .select("class", "bin", "rows", "bounds.*")
         .select(
             F.col("class").alias(class_column),
             "bin",
             _edge(F.col("bin"), bins).alias("bin_lo"),
             _edge(F.col("bin") + 1, bins).alias("bin_hi"),
-            F.coalesce("rows", F.lit(0)).alias("rows"),
+            "rows",
         )
         .orderBy(class_column, "bin")
     )
 
 
+def _known_bounds(bounds: tuple | None) -> Column:
+    lo, hi = bounds or (None, None)
+    if lo is None:
+        lo, hi = 0.0, 1.0
+    half = 0.5 if lo == hi else 0.0
+    return F.struct(F.lit(float(lo - half)).alias("lo"), F.lit(float(hi + half)).alias("hi"))
+
+
 def _class_bounds(value: int) -> Column:
     """(lo, hi) of a class: a constant gets half a unit either side, no rows get (0, 1)."""
     x = F.when(F.col("class") == value, F.col("x"))

@@ -1,7 +1,7 @@
 """The analyst queries over the CLEAN relation.
 
-Each is one scan, one map-side-combined aggregation of a few groups, and at most a window or sort
-over those groups.
+Each is one scan and one map-side-combined aggregation. Where groups are unchecked text (purpose, grade),
+their shares and ranks are spread over tasks; windows in one task are over fixed bands only.
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ from lendlens.functions.measures import (
     mean,
     rank_desc,
     rate_pct,
-    share_of_result,
     share_pct,
     sum_of_result,
     total,
+    with_rank,
+    with_share,
 )
 from lendlens.operators.clean_layer import dti_bucket, score_band
 from lendlens.schema import RISK_SEGMENTS
@@ -42,19 +43,15 @@ def default_by_tier(clean: DataFrame) -> DataFrame:
 
 
 def default_by_purpose(clean: DataFrame) -> DataFrame:
-    return (
-        clean.groupBy("loan_purpose")
-        .agg(
-            loans(),
-            total("default_flag", "total_defaults"),
-            rate_pct(),
-            mean("loan_amount", 2, "avg_loan_amount"),
-            F.avg("default_flag").alias("exact_rate"),
-        )
-        .withColumn("risk_rank", rank_desc("exact_rate"))
-        .drop("exact_rate")
-        .orderBy(WORST_FIRST("default_rate_pct"))
+    purposes = clean.groupBy("loan_purpose").agg(
+        loans(),
+        total("default_flag", "total_defaults"),
+        rate_pct(),
+        mean("loan_amount", 2, "avg_loan_amount"),
+        F.avg("default_flag").alias("exact_rate"),
     )
+    ranked = with_rank(purposes, "exact_rate", "risk_rank").drop("exact_rate")
+    return ranked.orderBy(WORST_FIRST("default_rate_pct"))
 
 
 def income_tier_default(clean: DataFrame) -> DataFrame:
@@ -73,18 +70,15 @@ def income_tier_default(clean: DataFrame) -> DataFrame:
 
 
 def grade_risk(clean: DataFrame) -> DataFrame:
-    return (
-        clean.groupBy("loan_grade")
-        .agg(
-            loans(),
-            rate_pct(),
-            mean("interest_rate", 2, "avg_interest_rate"),
-            mean("risk_score", 1, "avg_risk_score"),
-            total("loan_amount", "total_exposure"),
-        )
-        .withColumn("exposure_share_pct", share_of_result("total_exposure"))
-        .orderBy(WORST_FIRST("avg_risk_score"))
+    grades = clean.groupBy("loan_grade").agg(
+        loans(),
+        rate_pct(),
+        mean("interest_rate", 2, "avg_interest_rate"),
+        mean("risk_score", 1, "avg_risk_score"),
+        total("loan_amount", "total_exposure"),
     )
+    shares = with_share(grades, "total_exposure", "exposure_share_pct")
+    return shares.orderBy(WORST_FIRST("avg_risk_score"))
 
 
 def risk_segments(clean: DataFrame) -> DataFrame:
@@ -114,6 +108,12 @@ def risk_segments(clean: DataFrame) -> DataFrame:
     )
 
 
+def risk_segment(clean: DataFrame, label: str) -> DataFrame:
+    """One row of ``risk_segments``; of a CLEAN table with a folder per tier, only its tiers are read."""
+    own = clean.filter(F.col("risk_tier").isin(*RISK_SEGMENTS[label]))
+    return risk_segments(own).filter(F.col("segment") == label)
+
+
 def prior_default_impact(clean: DataFrame) -> DataFrame:
     return (
         clean.groupBy("prior_default_on_file", "risk_tier")

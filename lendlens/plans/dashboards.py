@@ -5,7 +5,7 @@ A rate is rolled up as total defaults over total loans, never as an average of r
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -118,3 +118,18 @@ def credit_analysis_page(clean: DataFrame) -> DataFrame:
         stable_round(average("risk_score"), 1).alias("avg_risk_score"),
         stable_round(average("loan_amount"), 2).alias("avg_loan_amount"),
     )
+
+
+#: page -> its mart
+MART_PAGES = {
+    "portfolio_kpis": (portfolio_kpis, "risk_tier_summary"),
+    "loan_performance": (loan_performance, "loan_purpose_analysis"),
+    "customer_segments": (customer_segments, "borrower_demographics"),
+}
+
+
+def stored_pages(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The pages that need nothing but a mart, read through the database of the analytics layer."""
+    return {
+        name: page(spark.table(f"`{database}`.`{mart}`")) for name, (page, mart) in MART_PAGES.items()
+    }

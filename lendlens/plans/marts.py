@@ -13,49 +13,42 @@ from pyspark.sql import functions as F
 from lendlens.functions.measures import (
     loans,
     mean,
-    rank_desc,
     rate_pct,
-    share_of_result,
     total,
+    with_rank,
+    with_share,
 )
 from lendlens.functions.numeric import stable_round
 
 
 def risk_tier_summary(clean: DataFrame) -> DataFrame:
-    return (
-        clean.groupBy("risk_tier", "loan_grade")
-        .agg(
-            loans(),
-            total("default_flag", "total_defaults"),
-            rate_pct(),
-            mean("loan_amount", 2, "avg_loan_amount"),
-            mean("interest_rate", 2, "avg_interest_rate"),
-            mean("risk_score", 1, "avg_risk_score"),
-            mean("annual_income", 2, "avg_borrower_income"),
-            mean("debt_to_income_ratio", 2, "avg_dti_ratio"),
-            total("loan_amount", "total_loan_exposure"),
-        )
-        .withColumn("exposure_share_pct", share_of_result("total_loan_exposure"))
+    groups = clean.groupBy("risk_tier", "loan_grade").agg(
+        loans(),
+        total("default_flag", "total_defaults"),
+        rate_pct(),
+        mean("loan_amount", 2, "avg_loan_amount"),
+        mean("interest_rate", 2, "avg_interest_rate"),
+        mean("risk_score", 1, "avg_risk_score"),
+        mean("annual_income", 2, "avg_borrower_income"),
+        mean("debt_to_income_ratio", 2, "avg_dti_ratio"),
+        total("loan_amount", "total_loan_exposure"),
     )
+    return with_share(groups, "total_loan_exposure", "exposure_share_pct")
 
 
 def loan_purpose_analysis(clean: DataFrame) -> DataFrame:
     """Ranked over (purpose, grade) pairs by the unrounded default rate."""
-    return (
-        clean.groupBy("loan_purpose", "loan_grade")
-        .agg(
-            loans(),
-            rate_pct(),
-            mean("loan_amount", 2, "avg_loan_amount"),
-            total("loan_amount", "total_exposure"),
-            mean("interest_rate", 2, "avg_interest_rate"),
-            mean("risk_score", 1, "avg_risk_score"),
-            total("default_flag", "total_defaults"),
-            F.avg("default_flag").alias("exact_rate"),
-        )
-        .withColumn("default_risk_rank", rank_desc("exact_rate"))
-        .drop("exact_rate")
+    groups = clean.groupBy("loan_purpose", "loan_grade").agg(
+        loans(),
+        rate_pct(),
+        mean("loan_amount", 2, "avg_loan_amount"),
+        total("loan_amount", "total_exposure"),
+        mean("interest_rate", 2, "avg_interest_rate"),
+        mean("risk_score", 1, "avg_risk_score"),
+        total("default_flag", "total_defaults"),
+        F.avg("default_flag").alias("exact_rate"),
     )
+    return with_rank(groups, "exact_rate", "default_risk_rank").drop("exact_rate")
 
 
 def borrower_demographics(clean: DataFrame) -> DataFrame:
@@ -72,21 +65,18 @@ def borrower_demographics(clean: DataFrame) -> DataFrame:
 
 
 def credit_analysis(clean: DataFrame) -> DataFrame:
-    return (
-        clean.groupBy("risk_tier", "prior_default_on_file", "loan_size_category")
-        .agg(
-            loans(),
-            rate_pct(),
-            mean("risk_score", 1, "avg_risk_score"),
-            stable_round(F.min("risk_score"), 1).alias("min_risk_score"),
-            stable_round(F.max("risk_score"), 1).alias("max_risk_score"),
-            mean("credit_history_years", 1, "avg_credit_history"),
-            mean("debt_to_income_ratio", 2, "avg_dti"),
-            mean("annual_interest_burden", 2, "avg_interest_burden"),
-            mean("loan_amount", 2, "avg_loan_amount"),
-        )
-        .withColumn("pct_of_portfolio", share_of_result("total_loans"))
+    groups = clean.groupBy("risk_tier", "prior_default_on_file", "loan_size_category").agg(
+        loans(),
+        rate_pct(),
+        mean("risk_score", 1, "avg_risk_score"),
+        stable_round(F.min("risk_score"), 1).alias("min_risk_score"),
+        stable_round(F.max("risk_score"), 1).alias("max_risk_score"),
+        mean("credit_history_years", 1, "avg_credit_history"),
+        mean("debt_to_income_ratio", 2, "avg_dti"),
+        mean("annual_interest_burden", 2, "avg_interest_burden"),
+        mean("loan_amount", 2, "avg_loan_amount"),
     )
+    return with_share(groups, "total_loans", "pct_of_portfolio")
 
 
 MARTS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -14,6 +14,7 @@ from lendlens.functions.measures import (
 from lendlens.functions.numeric import fold_nan, ratio, stable_round
 from lendlens.operators.histograms import histogram, histogram_by_class
 from lendlens.schema import STATUS_LABELS
+from lendlens.sources.layers import LOANS, LayerStore
 
 AMOUNT_BINS = 40
 AGE_BINS = 30
@@ -57,6 +58,21 @@ def rate_histogram_by_status(raw: DataFrame) -> DataFrame:
     )
 
 
+def stored_amount_histogram(store: LayerStore) -> DataFrame:
+    """``loan_amount_histogram`` of the RAW table: bounds from file footers, then one scan."""
+    bounds = store.bounds("raw", LOANS, "LOAN_AMNT")[None]
+    return histogram(store.read("raw"), "LOAN_AMNT", AMOUNT_BINS, bounds)
+
+
+def stored_rate_histogram(store: LayerStore) -> DataFrame:
+    """``rate_histogram_by_status`` of the RAW table, which has a folder per status."""
+    bounds = store.bounds("raw", LOANS, "LOAN_INT_RATE", "LOAN_STATUS")
+    rows = histogram_by_class(
+        store.read("raw"), "LOAN_INT_RATE", RATE_BINS, "LOAN_STATUS", list(STATUS_LABELS), bounds
+    )
+    return rows.withColumnRenamed("LOAN_STATUS", "loan_status")
+
+
 def executive_summary(raw: DataFrame) -> DataFrame:
     """Headline figures of the raw rows; averages skip NULL, the default rate counts every row."""
     rate = stable_round(ratio(F.col("total_defaults"), F.col("total_loans")) * 100, 2)

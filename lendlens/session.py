@@ -56,3 +56,33 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lendlens-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of its own in which parquet footers answer for counts, minima and maxima.
+
+    Only the session that asks for them has these settings; the caller's stays as it is.
+    """
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    # A partition column in capitals is only then known as one, and a group by it pushed down.
+    other.conf.set("spark.sql.caseSensitive", "true")
+    return other
+
+
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, folder = _folder(spark, path)
+    return store.exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder with all in it; False if there was none."""
+    store, folder = _folder(spark, path)
+    return store.delete(folder, True)

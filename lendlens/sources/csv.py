@@ -9,50 +9,69 @@ from pyspark.sql import types as T
 from lendlens.functions.numeric import fold_nan
 from lendlens.schema import NULL_TOKEN, RAW_COLUMNS, RAW_SCHEMA
 
+RECORD = "_corrupt_record"
 
-def read_loans_csv(spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE") -> DataFrame:
-    """Read CSV with a header; ``NA`` and empty fields are NULL, and so is NaN.
 
-    Types are declared, so there is no inference pass over the data. Columns are found by their
-    header name, in whatever order the files have them; every file must have the same header.
-    A value that does not parse is NULL, or an error with ``mode="FAILFAST"``; the former are
-    counted by ``rejected_values``.
-    """
-    reader = spark.read.option("header", True).option("nullValue", NULL_TOKEN)
-    header = reader.csv(path).columns
+def _reader(spark: SparkSession):
+    return spark.read.option("header", True).option("nullValue", NULL_TOKEN)
+
+
+def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    header = _reader(spark).csv(path).columns
     missing = sorted(set(RAW_COLUMNS) - set(header))
     if missing:
         raise ValueError(f"columns missing from the CSV header: {', '.join(missing)}")
-    in_file_order = T.StructType(
+    return header
+
+
+def _typed(header: list[str]) -> T.StructType:
+    return T.StructType(
         [
             RAW_SCHEMA[name] if name in RAW_COLUMNS else T.StructField(name, T.StringType())
             for name in header
         ]
     )
-    loans = (
-        reader.schema(in_file_order)
-        .option("enforceSchema", False)
-        .option("mode", mode)
-        .csv(path)
-    )
-    return fold_nan(loans.select(*[F.col(name) for name in RAW_COLUMNS]))
 
 
-def rejected_values(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(column_name, rejected): values that ``read_loans_csv`` turns into NULL as they do not parse.
+def read_loans_csv(spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE") -> DataFrame:
+    """Read CSV with a header; ``NA`` and empty fields are NULL, and so is NaN.
+
+    Types are declared, so there is no inference pass over the data. Columns are found by their
+    header name, in whatever order the files have them; every file must have the same header.
+    A value that does not parse is NULL, or an error with ``mode="FAILFAST"``; ``rejected_records``
+    has the records of the former.
+    """
+    schema = _typed(_header(spark, path))
+    reader = _reader(spark).schema(schema).option("enforceSchema", False).option("mode", mode)
+    return fold_nan(reader.csv(path).select(*[F.col(name) for name in RAW_COLUMNS]))
+
+
+def rejected_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, record, rejected``: records with a value that does not parse, or a wrong number of fields.
 
-    One more scan, as text; the same CSV parser then reads every single value by its declared type.
-    ``NA``, empty fields and NaN are missing, not rejected.
+    ``rejected`` lists the columns that ``read_loans_csv`` makes NULL, in the order of RAW; ``NA``, empty
+    fields and NaN are missing, not rejected. One scan: the parser itself sets bad records aside as they
+    stand in the file, and only these are cut again, to tell a value that was lost from a missing one.
     """
-    text = spark.read.option("header", True).option("nullValue", NULL_TOKEN).csv(path)
-    whole_value = {"sep": "\u0001", "quote": "", "nullValue": NULL_TOKEN}
-    counts = []
-    for field in RAW_SCHEMA.fields:
-        value = F.col(field.name)
-        parsed = F.from_csv(value, f"v {field.dataType.simpleString()}", whole_value)["v"]
-        counts.append(F.count_if(value.isNotNull() & parsed.isNull()).alias(field.name))
+    header = _header(spark, path)
+    schema = T.StructType([*_typed(header), T.StructField(RECORD, T.StringType())])
+    reader = _reader(spark).schema(schema).option("enforceSchema", False).option("columnPruning", False)
+    records = reader.option("columnNameOfCorruptRecord", RECORD).csv(path)
+    bad = records.filter(F.col(RECORD).isNotNull())
+    as_text = ", ".join(f"`{name}` string" for name in header)
+    fields = F.from_csv(F.col(RECORD), as_text, {"nullValue": NULL_TOKEN})
+    bad = bad.select(*RAW_COLUMNS, RECORD, F.col("_metadata.file_path").alias("file"), fields.alias("fields"))
+    lost = [
+        F.when(F.col("fields")[name].isNotNull() & F.col(name).isNull(), F.lit(name)) for name in RAW_COLUMNS
+    ]
+    return bad.select("file", F.col(RECORD).alias("record"), F.array_compact(F.array(*lost)).alias("rejected"))
+
+
+def rejected_values(rejects: DataFrame) -> DataFrame:
+    """(column_name, rejected) for every RAW column, from the records of ``rejected_records``."""
+    counts = [F.count_if(F.array_contains("rejected", name)).alias(name) for name in RAW_COLUMNS]
     names = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("rejected")) for n in RAW_COLUMNS]
-    return text.agg(*counts).select(F.inline(F.array(*names)))
+    return rejects.agg(*counts).select(F.inline(F.array(*names)))
 
 
 def write_loans_csv(raw: DataFrame, path: str) -> None:

@@ -1,9 +1,8 @@
 """Versioned loan tables: delete, read as of an earlier time, restore.
 
-Plain parquet has no DELETE and no time travel. Here a log holds one small row per version: the
-folder of rows which that version added, or the condition of those it removed. The rows of a
-version are the query that repeats these steps, so a delete writes no data. ``rewrite`` stores the
-latest rows anew, and later reads start there. One writer at a time.
+Plain parquet has no DELETE and no time travel. Here every version is a folder with all its rows: a
+delete writes the rows that stay, a restore the rows with those that come back. A log has
+one small row per version, and a read opens one folder. One writer at a time.
 """
 
 from __future__ import annotations
@@ -19,11 +18,7 @@ from pyspark.sql import types as T
 from lendlens.operators.bags import bag_difference
 from lendlens.sources.constants import literal_rows
 
-LOG_SCHEMA = (
-    "version long, committed_at timestamp, operation string, folder string, removed string, "
-    "rows long"
-)
-WHOLE = ("create", "rewrite")
+LOG_SCHEMA = "version long, committed_at timestamp, operation string, folder string, rows long"
 
 
 @dataclass(frozen=True)
@@ -31,8 +26,7 @@ class Version:
     number: int
     committed_at: datetime
     operation: str
-    folder: str | None
-    removed: str | None
+    folder: str
     rows: int
 
 
@@ -40,7 +34,7 @@ class SnapshotTable:
     def __init__(
         self, spark: SparkSession, base: str, schema: T.StructType, cluster_by: str | None = None
     ):
-        """Rows are sorted by ``cluster_by`` in each file; deletes on it then read few pages."""
+        """Rows are sorted by ``cluster_by`` in each file; conditions on it then read few pages."""
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
@@ -53,73 +47,48 @@ class SnapshotTable:
         self.spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(self._log_path())
         if self.versions():
             raise ValueError(f"a table exists at {self.base}")
-        folder, rows = self._write(df)
-        return self._commit(0, "create", committed_at, rows, folder=folder)
+        return self._publish(0, "create", df, committed_at)
 
     def delete_where(self, condition: str, committed_at: datetime | None = None) -> Version:
-        """Remove rows for which a SQL condition is true; rows where it is NULL stay.
-
-        The condition must depend on the row alone (no random numbers, no current time), since
-        every later read applies it.
-        """
+        """Remove rows for which a SQL condition is true; rows where it is NULL stay."""
         latest = self.latest()
-        hits = self.read(latest).filter(condition).count()
-        return self._commit(
-            latest.number + 1, "delete", committed_at, latest.rows - hits, removed=condition
-        )
+        stay = self.read(latest).filter(~F.coalesce(F.expr(condition), F.lit(False)))
+        return self._publish(latest.number + 1, "delete", stay, committed_at)
 
     def restore_where(
         self, condition: str, as_of: Version, committed_at: datetime | None = None
     ) -> Version:
-        """Append the matching rows of an earlier version, whether or not they are still there."""
-        rows = self.read(as_of).filter(condition)
-        return self._append("restore", self.latest(), rows, committed_at)
+        """Add the matching rows of an earlier version, whether or not they are still there."""
+        latest = self.latest()
+        rows = self.read(latest).unionByName(self.read(as_of).filter(condition))
+        return self._publish(latest.number + 1, "restore", rows, committed_at)
 
     def restore_missing(
         self, condition: str, as_of: Version, committed_at: datetime | None = None
     ) -> Version:
-        """Append only those matching rows (and copies) that the latest version lacks."""
+        """Add only those matching rows (and copies) that the latest version lacks."""
         latest = self.latest()
         earlier, now = (self.read(version).filter(condition) for version in (as_of, latest))
-        return self._append("restore missing", latest, bag_difference(earlier, now), committed_at)
+        rows = self.read(latest).unionByName(bag_difference(earlier, now))
+        return self._publish(latest.number + 1, "restore missing", rows, committed_at)
 
-    def rewrite(self, committed_at: datetime | None = None) -> Version:
-        """Store the latest rows in one folder, so that reads repeat no earlier step."""
-        latest = self.latest()
-        folder, rows = self._write(self.read(latest))
-        return self._commit(latest.number + 1, "rewrite", committed_at, rows, folder=folder)
-
-    def _append(
-        self, operation: str, latest: Version, df: DataFrame, committed_at: datetime | None
+    def _publish(
+        self, number: int, operation: str, df: DataFrame, committed_at: datetime | None
     ) -> Version:
-        folder, rows = self._write(df)
-        return self._commit(
-            latest.number + 1, operation, committed_at, latest.rows + rows, folder=folder
-        )
+        """Write all rows to a new folder; one small log row then makes the version visible.
 
-    def _write(self, df: DataFrame) -> tuple[str, int]:
-        """Write the rows to a new folder; their number comes from the file footers."""
+        The number of rows comes from the file footers.
+        """
         folder = uuid.uuid4().hex
         rows = df.select(*self.schema.fieldNames())
         if self.cluster_by is not None:
             rows = rows.sortWithinPartitions(self.cluster_by)
         rows.write.parquet(f"{self.base}/{folder}")
-        return folder, self._folder(folder).count()
-
-    def _commit(
-        self,
-        number: int,
-        operation: str,
-        committed_at: datetime | None,
-        rows: int,
-        folder: str | None = None,
-        removed: str | None = None,
-    ) -> Version:
-        """Publish a version: its data is complete, and one small file makes it visible."""
         at = committed_at or datetime.now(timezone.utc)
-        row = (number, at, operation, folder, removed, rows)
+        version = Version(number, at, operation, folder, self._folder(folder).count())
+        row = (number, at, operation, folder, version.rows)
         literal_rows(self.spark, LOG_SCHEMA, [row]).write.mode("append").parquet(self._log_path())
-        return Version(number, at, operation, folder, removed, rows)
+        return version
 
     # Reading
 
@@ -133,7 +102,6 @@ class SnapshotTable:
                 epoch + timedelta(microseconds=row["committed_at"]),
                 row["operation"],
                 row["folder"],
-                row["removed"],
                 row["rows"],
             )
             for row in log.withColumn("committed_at", F.unix_micros("committed_at"))
@@ -156,18 +124,8 @@ class SnapshotTable:
         return self.version_at((now or datetime.now(timezone.utc)) - timedelta(seconds=seconds))
 
     def read(self, version: Version | None = None) -> DataFrame:
-        """The rows of a version, the latest by default."""
-        steps = self.versions()
-        if version is not None:
-            steps = [step for step in steps if step.number <= version.number]
-        start = max(i for i, step in enumerate(steps) if step.operation in WHOLE)
-        rows = self._folder(steps[start].folder)
-        for step in steps[start + 1 :]:
-            if step.removed is not None:
-                rows = rows.filter(~F.coalesce(F.expr(step.removed), F.lit(False)))
-            if step.folder is not None:
-                rows = rows.unionByName(self._folder(step.folder))
-        return rows
+        """The rows of a version, the latest by default: one folder."""
+        return self._folder((version or self.latest()).folder)
 
     def _folder(self, folder: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.base}/{folder}")

@@ -4,13 +4,27 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendlens.__main__ import main
+from lendlens.operators import profiling
 from lendlens.operators.verify import load_checks
 from lendlens.plans import marts
-from lendlens.plans.pipeline import check_marts, register_scored, run_pipeline, score_loans
+from lendlens.plans.pipeline import (
+    REJECTS,
+    check_marts,
+    quarantine,
+    register_scored,
+    run_pipeline,
+    score_loans,
+)
 from lendlens.schema import RAW_COLUMNS, RAW_SCHEMA
 from lendlens.session import scratch_dir, shuffle_partitions
-from lendlens.sources.csv import read_loans_csv, rejected_values, write_loans_csv
-from lendlens.sources.layers import LayerStore
+from lendlens.sources.csv import (
+    read_loans_csv,
+    rejected_records,
+    rejected_values,
+    write_loans_csv,
+)
+from lendlens.sources.constants import literal_rows
+from lendlens.sources.layers import VERSIONS, LayerStore
 from tests.conftest import SF_DIR
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -67,9 +81,42 @@ def test_rejected_values_are_those_that_the_reader_loses(spark, make_loans):
     text = loans.withColumn("person_income", incomes[F.col("loan_amnt")])
     write_loans_csv(text.coalesce(1), path)
     lost = read_loans_csv(spark, path).filter("person_income IS NULL").count()
-    found = {r.column_name: r.rejected for r in rejected_values(spark, path).collect()}
+    rejects = rejected_records(spark, path)
+    found = {r.column_name: r.rejected for r in rejected_values(rejects).collect()}
     assert found.pop("person_income") == lost == 2
     assert set(found.values()) == {0} and len(found) == 11
+    records = {r.record: r.rejected for r in rejects.collect()}
+    assert len(records) == 2 and set(map(tuple, records.values())) == {("person_income",)}
+    assert any('"50,000"' in record for record in records)
+
+
+def test_rejects_have_odd_columns_and_field_counts(spark, tmp_path):
+    names = ["note", *reversed(RAW_COLUMNS)]
+    good = dict(zip(RAW_COLUMNS, "22,59000,RENT,1.5,PERSONAL,D,35000,16.02,1,0.59,Y,3".split(",")))
+    bad = {**good, "person_age": "old", "loan_int_rate": "NaN", "loan_status": "x", "loan_amnt": "NA"}
+    lines = [",".join(row.get(name, "?") for name in names) for row in (good, bad, good, good)]
+    path = tmp_path / "loans.csv"
+    path.write_text("\n".join([",".join(names), *lines[:3], f"{lines[3]},one too many"]) + "\n")
+    rejects = rejected_records(spark, str(path)).collect()
+    assert {r.record: r.rejected for r in rejects} == {
+        lines[1]: ["person_age", "loan_status"],
+        f"{lines[3]},one too many": [],
+    }
+    assert all(r.file.endswith("loans.csv") for r in rejects)
+    text = rejected_records(spark, str(path))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
+    with pytest.raises(ValueError, match="columns missing"):
+        path.write_text("note\n1\n")
+        rejected_records(spark, str(path))
+
+
+def test_rejects_are_kept_beside_raw(spark, tmp_path):
+    path = tmp_path / "loans.csv"
+    path.write_text(f"{HEADER}\nold,59000,RENT,1.5,PERSONAL,D,35000,16.02,1,0.59,Y,3\n")
+    store = LayerStore(spark, scratch_dir(spark, "layers"))
+    quarantine(rejected_records(spark, str(path)), store)
+    kept = store.read("raw", REJECTS).first()
+    assert kept.record.startswith("old,59000") and kept.rejected == ["person_age"]
 
 
 def test_pipeline_writes_every_layer(spark, raw, clean):
@@ -155,7 +202,7 @@ def test_command_line_run(spark, raw, capsys):
 def test_file_size_option_and_unknown_layer(spark, raw):
     store = LayerStore(spark, scratch_dir(spark, "layers"))
     store.load_raw(score_loans(raw), max_records_per_file=100)
-    files = os.listdir(store.path("raw", "loan_applications"))
+    files = [name for _, _, names in os.walk(store.path("raw", "loan_applications")) for name in names]
     assert sum(name.endswith(".parquet") for name in files) >= 14
     with pytest.raises(ValueError):
         store.read("gold")
@@ -208,3 +255,82 @@ def test_register_follows_replaced_tables(spark):
     inside.replace("raw", "numbers", spark.range(2))
     with pytest.raises(ValueError, match="already exists"):
         inside.register("raw", "numbers", prefix="t9_")
+
+
+def folders(store):
+    root = store.base + "/raw/numbers"
+    return {name for name in os.listdir(root) if not name.startswith(".")}
+
+
+def test_retention_keeps_the_newest_versions(spark):
+    store = LayerStore(spark, scratch_dir(spark, "layers"))
+    assert store.keep_versions("raw", "numbers", 1) == []
+    for n in range(4):
+        store.replace("raw", "numbers", spark.range(n))
+    assert len(folders(store)) == 4
+    assert len(store.keep_versions("raw", "numbers", 2)) == 2
+    assert len(folders(store)) == 2 and store.read("raw", "numbers").count() == 3
+    assert store.keep_versions("raw", "numbers", 2) == []
+    assert store.replace("raw", "numbers", spark.range(9)).count() == 9
+    assert len(store.keep_versions("raw", "numbers", 1)) == 2
+    assert store.read("raw", "numbers").count() == 9
+    with pytest.raises(ValueError):
+        store.keep_versions("raw", "numbers", 0)
+
+
+def test_writers_that_take_the_same_number(spark):
+    one, other = (LayerStore(spark, base) for base in [scratch_dir(spark, "layers")] * 2)
+    one.replace("raw", "numbers", spark.range(5))
+    schema = one.read("raw", "numbers").schema.json()
+    root = one.base + "/raw/numbers"
+    for folder, n in (("a" * 32, 6), ("f" * 32, 7)):  # both saw version 0 as the newest
+        spark.range(n).write.parquet(f"{root}/{folder}")
+        literal_rows(spark, VERSIONS, [(1, folder, schema, "[]")]).write.mode("append").parquet(f"{root}.versions")
+    assert one.read("raw", "numbers").count() == other.read("raw", "numbers").count() == 7
+    other.replace("raw", "numbers", spark.range(8))
+    assert one.read("raw", "numbers").count() == 8
+
+
+def test_partitions_are_replaced_alone_and_columns_keep_their_order(spark):
+    store = LayerStore(spark, scratch_dir(spark, "layers"))
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    stored = store.replace("raw", "numbers", rows, ["k"])
+    assert stored.columns == ["k", "n"]
+    before = {r.k: r.f for r in stored.withColumn("f", F.input_file_name()).collect()}
+    again = store.replace_partitions("raw", "numbers", rows.filter("k = 'b'").withColumn("n", F.lit(9)))
+    after = {r.k: (r.n, r.f) for r in again.withColumn("f", F.input_file_name()).collect()}
+    assert {k: n for k, (n, _) in after.items()} == {"a": 1, "b": 9, None: 3}
+    assert [k for k in after if after[k][1] != before[k]] == ["b"]
+    broken = rows.filter("k = 'a'").withColumn("n", F.expr("CAST(assert_true(false, 'broken') AS int)"))
+    with pytest.raises(Exception, match="broken"):
+        store.replace_partitions("raw", "numbers", broken)
+    assert store.read("raw", "numbers").filter("k = 'a'").first().n == 1
+    empty = store.replace("raw", "numbers", rows.limit(0), ["k"])
+    store.create_namespaces(prefix="t6_")
+    assert spark.table(store.register("raw", "numbers", prefix="t6_")).count() == 0
+    store.replace("raw", "numbers", rows.drop("k"))
+    with pytest.raises(ValueError, match="not partitioned"):
+        store.replace_partitions("raw", "numbers", rows)
+    store.replace("raw", "numbers", rows.limit(0), ["k"])
+    assert empty.columns == ["k", "n"] and store.read("raw", "numbers").count() == 0
+
+
+def test_missing_table(spark):
+    with pytest.raises(ValueError, match="no table"):
+        LayerStore(spark, scratch_dir(spark, "layers")).read("clean")
+
+
+def test_sketches_are_made_once_per_version_and_merge(spark):
+    store = LayerStore(spark, scratch_dir(spark, "layers"))
+    store.replace("raw", "numbers", spark.range(1000).selectExpr("id", "if(id % 4 = 0, null, -0.0D) AS x"))
+    store.sketches("raw", "numbers").collect()
+    store.replace("raw", "numbers", spark.range(500, 1500).selectExpr("id", "0.0D AS x"))
+    ids, xs = profiling.sketched_profile(
+        store.read("raw", "numbers"), store.sketches("raw", "numbers", every_version=True)
+    ).collect()
+    assert abs(ids.distinct_values - 1500) < 60 and ids.null_count == 0
+    assert (xs.distinct_values, xs.null_count, xs.null_pct) == (2, 250, 12.5)
+    root = store.base + "/raw/numbers.sketches"
+    assert len(os.listdir(root)) == 2
+    text = store.sketches("raw", "numbers", every_version=True)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == text.count("sketch:binary>") == 2  # not the rows
