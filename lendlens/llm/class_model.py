@@ -17,6 +17,7 @@ add-one unigram.
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass, replace
 from itertools import groupby
 
 import numpy as np
@@ -42,7 +43,7 @@ GAIN_ROWS = 50_000
 FOLDS, HELD_OUT = 7, 2
 END = b""
 NULL_ID = -(2**63)
-VOCAB, LINK, CLASS, TEXT, CONTEXT, CELLS = range(6)
+VOCAB, LINK, CLASS, TEXT, CONTEXT, CELLS, WORDS = range(7)
 _ROWS = pa.schema(
     [("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("body", pa.binary())]
 )
@@ -130,14 +131,18 @@ def _cut(buckets: int):
     return run
 
 
+def _split(sizes: np.ndarray, joined: np.ndarray) -> list[bytes]:
+    data, ends = joined.tobytes(), np.cumsum(sizes, dtype=np.int64).tolist()
+    return [data[start:end] for start, end in zip([0, *ends], ends)]
+
+
 def _number(batches):
-    """Per bucket: its words' numbers for every chunk, then counts, first classes and slices."""
+    """Per bucket: its words' numbers for every chunk, then counts, first classes and slices, and the words."""
     for bucket, rows in groupby(_rows(batches), key=lambda row: row[2]):
         numbers, counts = _Numbers(), np.zeros(1024, np.uint64)
         for chunk, _, _, body in rows:
             codes, training, sizes, joined = unpack(body)
-            data, ends = joined.tobytes(), np.cumsum(sizes, dtype=np.int64).tolist()
-            words = [data[start:end] for start, end in zip([0, *ends], ends)]
+            words = _split(sizes, joined)
             own = np.fromiter((numbers[word] for word in words), np.uint32, len(words))
             if len(numbers) > len(counts):
                 counts = np.concatenate([counts, np.zeros(len(numbers) + len(counts), np.uint64)])
@@ -149,6 +154,8 @@ def _number(batches):
         classes = np.where(rare, RARE, RARE + 1 + mixed % (CLASSES - 1))
         part = np.where(rare, NO_PART, mixed // CLASSES % SLICES)
         yield _row(-1, VOCAB, bucket, pack(counts, classes.astype(np.uint8), part.astype(np.uint8)))
+        sizes = np.fromiter(map(len, numbers), np.uint32, len(numbers))
+        yield _row(-1, WORDS, bucket, pack(sizes, np.frombuffer(b"".join(numbers), np.uint8)))
 
 
 def _spread(moving: int | None):
@@ -332,61 +339,99 @@ def _by(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(key).sortWithinPartitions(key, "kind", "chunk")
 
 
-def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` per row.
+@dataclass(frozen=True)
+class ClassModel:
+    """What was learned, beside the texts that it was learned from and that it scores."""
+
+    texts: DataFrame
+    links: DataFrame
+    words: DataFrame
+    vocab: DataFrame
+    cells: np.ndarray  # training bigrams of classes
+    totals: np.ndarray  # training tokens, then words seen in training, of each class
+
+    def at_chunks(self, part: int | None) -> DataFrame:
+        """Chunks with the classes of their words, and words of slice ``part`` marked, or counts."""
+        spread = _by(self.links.unionByName(self.vocab), "bucket").mapInArrow(_spread(part), _ROWS_DDL)
+        return _by(spread.unionByName(self.texts), "chunk")
+
+    def word_classes(self) -> DataFrame:
+        """``word`` (its bytes; the end is empty), ``n`` in training and ``class``; unseen words left out."""
+        rows = _by(self.vocab.unionByName(self.words), "bucket")
+        return rows.mapInArrow(_word_classes, "word binary, n long, class int")
+
+    def scores(self) -> DataFrame:
+        """A row per text, as ``score_texts`` has it."""
+        scored = self.at_chunks(None).mapInArrow(_score(self.cells, self.totals), _SCORES_DDL)
+        mean = F.col("score") / F.col("n_tokens")
+        return scored.select(
+            "doc_id",
+            "held_out",
+            "n_tokens",
+            "n_known",
+            F.lit(int(self.totals[:CLASSES].sum())).cast("long").alias("train_tokens"),
+            "base_score",
+            "score",
+            F.pow(F.lit(10.0), -mean).alias("perplexity"),
+        )
+
+
+def _word_classes(batches):
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
+    counts = classes = None
+    for _, kind, _, body in _rows(batches):
+        if kind == VOCAB:
+            counts, classes, _ = unpack(body)
+            continue
+        words, seen = _split(*unpack(body)), np.flatnonzero(counts)
+        yield batch_of(schema, [[words[i] for i in seen], counts[seen], classes[seen]])
 
-    A NULL text is empty; an empty text has one token, its end. A NULL id is in training. Repeated
-    rows each count and each give a row; other columns are not read. An empty table gives no row,
-    and with nothing to learn from every score is 0 and every perplexity 1. A chunk ends at a text's end
-    after ``CHUNK_TOKENS`` tokens, so a longer text is a chunk of its own. There are as many
-    buckets as shuffle partitions; a bucket holds the counts of its distinct words.
-    """
+
+def learn(docs: DataFrame, rounds: int = ROUNDS) -> ClassModel:
+    """Counts of all training texts, and word classes after ``rounds`` rounds of exchange."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     doc_id = F.col("doc_id").cast("long")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held"), text.alias("text"))
     cut = stored(rows.mapInArrow(_cut(buckets), _ROWS_DDL), "lm-chunks")
-    texts = cut.filter(F.col("kind") == TEXT)
     words = _by(cut.filter(F.col("kind") == LINK), "bucket")
     numbered = stored(words.mapInArrow(_number, _ROWS_DDL), "lm-words")
-    links, vocab = numbered.filter(F.col("kind") == LINK), numbered.filter(F.col("kind") == VOCAB)
-
-    def at_chunks(vocab: DataFrame, part: int | None) -> DataFrame:
-        spread = _by(links.unionByName(vocab), "bucket").mapInArrow(_spread(part), _ROWS_DDL)
-        return _by(spread.unionByName(texts), "chunk")
-
-    def counted(vocab: DataFrame, part: int) -> DataFrame:
-        return at_chunks(vocab, part).mapInArrow(_count, _COUNTED_DDL)
+    model = ClassModel(
+        cut.filter(F.col("kind") == TEXT),
+        *[numbered.filter(F.col("kind") == kind) for kind in (LINK, WORDS, VOCAB)],
+        np.zeros(0),
+        np.zeros(0),
+    )
+    best = None
 
     def bigrams(rows: DataFrame) -> np.ndarray:
         cells = _sums(rows.filter(F.col("kind") == CELLS), CLASSES * CLASSES)
         return cells.reshape(CLASSES, CLASSES)
 
-    best = None
     for turn in range(rounds):
         part = turn % SLICES
-        found = stored(counted(vocab, part), "lm-counts")
+        found = stored(model.at_chunks(part).mapInArrow(_count, _COUNTED_DDL), "lm-counts")
         cells = bigrams(found)
-        if best is not None and likelihood(cells) < likelihood(best[1]):
-            vocab = best[0]
+        if best and likelihood(cells) < likelihood(best.cells):
+            model = best
             continue
-        best = vocab, cells
+        best = replace(model, cells=cells)
         contexts = found.filter(F.col("kind") == CONTEXT).drop("cells")
-        moved = _by(vocab.unionByName(contexts), "bucket").mapInArrow(_exchange(cells, part), _ROWS_DDL)
-        vocab = stored(moved, "lm-classes")
-    cells = bigrams(counted(vocab, ALL_STAY))
-    if best is not None and likelihood(cells) < likelihood(best[1]):
-        vocab, cells = best
-    totals = _sums(vocab.mapInArrow(_totals, "cells array<long>"), 2 * CLASSES)
-    scored = at_chunks(vocab, None).mapInArrow(_score(cells, totals), _SCORES_DDL)
-    mean = F.col("score") / F.col("n_tokens")
-    return scored.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(int(totals[:CLASSES].sum())).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-        F.pow(F.lit(10.0), -mean).alias("perplexity"),
-    )
+        moved = _by(model.vocab.unionByName(contexts), "bucket").mapInArrow(_exchange(cells, part), _ROWS_DDL)
+        model = replace(model, vocab=stored(moved, "lm-classes"))
+    cells = bigrams(model.at_chunks(ALL_STAY).mapInArrow(_count, _COUNTED_DDL))
+    model = best if best and likelihood(cells) < likelihood(best.cells) else replace(model, cells=cells)
+    totals = _sums(model.vocab.mapInArrow(_totals, "cells array<long>"), 2 * CLASSES)
+    return replace(model, totals=totals)
+
+
+def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` per row.
+
+    A NULL text is empty; an empty text has one token, its end. A NULL id is in training. Repeated
+    rows each count and each give a row; other columns are not read. An empty table gives no row,
+    and with nothing to learn from every score is 0 and every perplexity 1. A chunk ends at a text's end
+    after ``CHUNK_TOKENS`` tokens, so a longer text is a chunk of its own. There are as many
+    buckets as shuffle partitions; a bucket holds the counts of its distinct words.
+    """
+    return learn(docs, rounds).scores()

@@ -20,6 +20,7 @@ from lendlens.llm import (
     repair,
     secrets,
     simhash,
+    statements,
     suffixes,
 )
 from lendlens.llm.common import table
@@ -36,6 +37,10 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return bpe.token_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def _near_groups(docs: DataFrame) -> DataFrame:
+    return simhash.near_groups(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def _licenses(docs: DataFrame) -> DataFrame:
     return licenses.scan_licenses(docs).drop("spans")
 
@@ -68,7 +73,7 @@ def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _documents(secrets.secret_digests),
-        "op2_simhash_near_dedup": _documents(simhash.near_groups),
+        "op2_simhash_near_dedup": _documents(_near_groups),
         "op3_license_scan": _documents(_licenses),
         "op4_language_id": _documents(_languages),
         "op5_exact_dedup": _documents(block_naming.exact_groups),
@@ -84,47 +89,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
+    """Models, fingerprints and merges have no SQL form; tests/llm compares those with brute force."""
     return {
-        "op5_exact_dedup": """
-            SELECT doc_id,
-                   max(doc_id) OVER same AS keep_id,
-                   count(*) OVER same AS group_size,
-                   doc_id = max(doc_id) OVER same AS kept,
-                   sha256(coalesce(text, '')) AS text_sha256
-            FROM documents
-            WINDOW same AS (PARTITION BY coalesce(text, ''))
-        """,
-        "op13_ranked_search": r"""
-            WITH cut AS (
-                SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
-                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
-                FROM documents
-            ), sizes AS (
-                SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM cut WHERE len(terms) > 0
-            ), items AS (
-                SELECT DISTINCT item_id, unnest(regexp_extract_all(
-                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
-                FROM benchmark
-            ), words AS (
-                SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM cut
-            ), postings AS (
-                SELECT doc, doc_id, n, term, count(*) AS tf
-                FROM words WHERE term IN (SELECT term FROM items) GROUP BY ALL
-            ), weights AS (
-                SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
-                FROM postings, sizes GROUP BY term
-            ), scores AS (
-                SELECT item_id, doc, doc_id, sum(w * ((1000000000 * tf)
-                    // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
-                FROM items JOIN postings USING (term) JOIN weights USING (term), sizes
-                GROUP BY item_id, doc, doc_id
-            ), ranked AS (
-                SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
-                    doc_id, score
-                FROM scores WHERE score > 0
-            )
-            SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
-        """,
+        "op5_exact_dedup": statements.EXACT_DEDUP,
+        "op7_chat_prefix_tree": statements.CHAT,
+        "op9_previous_factors": statements.REPEATS,
+        "op12_conversation_repair": statements.REPAIR,
+        "op13_ranked_search": statements.SEARCH,
     }

@@ -104,10 +104,12 @@ class Shard:
             for number, n, end in zip(term.tolist(), counts.tolist(), ends.tolist())
         }
 
-    def search(self, query: list[tuple[int, int]], best: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``best`` documents for (term, weight) pairs, the rarest first.
+    def accumulate(
+        self, query: list[tuple[int, int]], best: int, least: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the documents for (term, weight) pairs, the rarest first, and who has an accumulator.
 
-        Documents that score under ``least`` may be left out.
+        Scores of the ``best`` documents are exact, but for documents under ``least``.
         """
         lists = [(weight, *self.postings[term]) for term, weight in query if term in self.postings]
         remaining = sum(weight * most for weight, _, _, most in lists)
@@ -125,6 +127,11 @@ class Shard:
                 owner, impact = owner[survives], impact[survives]
             score[owner] += weight * impact
             remaining -= weight * most
+        return score, opened
+
+    def search(self, query: list[tuple[int, int]], best: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``best`` documents; those that score under ``least`` may be left out."""
+        score, _ = self.accumulate(query, best, least)
         found = np.flatnonzero(score > 0)
         if len(found) > best:
             kth = np.partition(score[found], -best)[-best]
