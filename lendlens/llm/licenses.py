@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lendlens.llm.common import batch_of, id_and_text, slices
 
@@ -73,6 +74,20 @@ TEMPLATES = [
 ]
 
 
+def read_templates(rows: DataFrame, most_words: int = 2_000_000) -> list[Template]:
+    """Templates of a table ``label, text`` (base phrases stay), for ``scan_licenses``.
+
+    The automaton is on the driver and in every task, so a table of more than ``most_words`` words is
+    refused. Rows with a NULL and equal rows do not count.
+    """
+    rows = rows.select("label", "text").dropna().distinct()
+    words = rows.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    if words > most_words:
+        raise ValueError(f"{words} words of templates, at most {most_words}")
+    found = [Template(row.label, tuple(words_of(row.text)), False) for row in rows.orderBy("label", "text").collect()]
+    return [template for template in TEMPLATES if template.base] + [t for t in found if t.words]
+
+
 def words_of(text: str) -> list[str]:
     return WORDS.findall(text.translate(_UPPER))
 
@@ -160,12 +175,13 @@ def _runs(known: np.ndarray) -> list[tuple[int, int]]:
 def _chain(matches: list[tuple[int, int, int]]) -> list[tuple[int, list]]:
     """Best collinear chains of (text start, template start, length): covered words and matches."""
     matches = sorted(matches)
+    longest = max((n for _, _, n in matches), default=0)
     best: list[tuple[int, int | None]] = []
     for i, (x, y, n) in enumerate(matches):
         choice = (n, None)
         for j in range(i - 1, -1, -1):
             x2, y2, n2 = matches[j]
-            if x - x2 > 4 * MAX_GAP + 200:
+            if x - x2 > longest + MAX_GAP:  # even the longest ends too early
                 break
             new = min(n, y + n - y2 - n2, x + n - x2 - n2)
             if new > 0 and y > y2 and x > x2 and x - x2 - n2 <= MAX_GAP and y - y2 - n2 <= MAX_GAP:
