@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.session import scratch_dir
@@ -53,10 +53,37 @@ def id_and_text(docs: DataFrame, null_text: str | None = "") -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
-def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in ``ids``; NULL matches NULL."""
-    wanted = ids.select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_kept_id"]), "left_semi")
+def row_key(docs: DataFrame) -> Column:
+    """The id and a wide digest of the text: what tells rows apart where ids repeat or are NULL."""
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    return F.struct(
+        docs["doc_id"].cast("long").alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest")
+    )
+
+
+def counted_small(stored_rows: DataFrame, most: int = 200_000) -> DataFrame:
+    """A broadcast hint for a stored table of at most ``most`` short rows, which are counted here; else none.
+
+    Without the hint the join shuffles both sides, so the answer is the same for any number.
+    """
+    return F.broadcast(stored_rows) if stored_rows.count() <= most else stored_rows
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is in column ``key`` of ``keys``."""
+    wanted = keys.select(F.col("key").alias("_kept_key"))
+    return docs.join(wanted, row_key(docs) == F.col("_kept_key"), "left_semi")
+
+
+def keep_one_row(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """As ``keep_rows``, but one row of each key; ``copies`` of ``keys`` is their number in ``docs``.
+
+    Only rows that do repeat are grouped.
+    """
+    once = keep_rows(docs, keys.filter(F.col("copies") == 1))
+    several = keep_rows(docs, keys.filter(F.col("copies") > 1))
+    number = several.withColumn("_row_key", row_key(several)).dropDuplicates(["_row_key"])
+    return once.unionByName(number.select(*[number[f"`{name}`"] for name in docs.columns]))
 
 
 def slices(

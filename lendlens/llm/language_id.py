@@ -1,7 +1,7 @@
 """Language ID by interpolated Kneser-Ney character models, one per language.
 
-Character 4-grams of all labelled training rows are counted in Spark. All counts make the models:
-highest-order counts, and below them counts of distinct left contexts. Each order is one sorted array of n-gram
+Character 4-grams of a sample of labelled training rows, bounded for each language, are counted in
+Spark. All counts make the models: highest-order counts, and below them counts of distinct left contexts. Each order is one sorted array of n-gram
 hashes with a column per language. A text goes to the language with the lowest cross-entropy per
 character. It is rejected if that exceeds the language's training level by more than its length
 explains; the level and spread come from the calibration fold, pooled where a language has few rows.
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, slices, stored
+from lendlens.llm.common import batch_of, counted_small, row_key, slices, stored
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -27,12 +27,16 @@ CALIBRATION_CHARS = 400
 LEAST_CALIBRATION = 30
 UNKNOWN = "und"
 FLUSH_GRAMS = 500_000
+FIT_CHARS = 10_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# All that is not a letter; \w has numbers such as one half or a circled two, which are no letters.
+_OTHER_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_OTHER_NUMBERS}]+")
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
 _SCORES = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("digest", pa.binary()),
         ("fold", pa.int64()),
         ("lang", pa.string()),
         ("n_chars", pa.int64()),
@@ -42,7 +46,7 @@ _SCORES = pa.schema(
     ]
 )
 _SCORES_DDL = (
-    "doc_id long, fold long, lang string, n_chars long, lang_pred string, "
+    "doc_id long, digest binary, fold long, lang string, n_chars long, lang_pred string, "
     "entropy double, score double"
 )
 
@@ -184,11 +188,22 @@ def fold(docs: DataFrame) -> Column:
 
 
 def train(docs: DataFrame) -> Models:
-    """Fit on labelled rows of the two fitting folds; a count per language and 4-gram reaches the driver."""
+    """Fit on a sample of the labelled rows of the two fitting folds, about ``FIT_CHARS`` characters a language.
+
+    A language with less is used whole; of others, rows are drawn by a hash of id and text. So the
+    number of n-grams that the driver and each task hold has a bound for each language, whatever the input. All n-grams
+    of the sample are kept.
+    """
     fitting = ~fold(docs).isin(HELD_OUT, CALIBRATION)
-    labelled = docs.filter(fitting & F.col("lang").isNotNull())
+    labelled = docs.filter(fitting & F.col("lang").isNotNull()).select(
+        "doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")
+    )
+    sizes = labelled.groupBy("lang").agg((FIT_CHARS / F.sum(F.length("text"))).alias("share"))
+    sizes = stored(sizes, "language-shares")  # a row per language
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < F.col("share") * (1 << 32)
+    sample = labelled.join(sizes, "lang").filter(drawn)
     counts = (
-        labelled.select("lang", F.coalesce("text", F.lit("")).alias("text"))
+        sample.select("lang", "text")
         .mapInArrow(_count, "lang string, gram string, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
@@ -199,7 +214,7 @@ def train(docs: DataFrame) -> Models:
 def _score(models: Models):
     def run(batches):
         for batch in slices(batches):
-            ids, folds, langs, texts = (column.to_pylist() for column in batch.columns)
+            ids, digests, folds, langs, texts = (column.to_pylist() for column in batch.columns)
             kept = [letters(text) for text in texts]
             full = [i for i, text in enumerate(kept) if text and models.langs]
             best = [(UNKNOWN, None, 0.0)] * len(ids)
@@ -212,7 +227,7 @@ def _score(models: Models):
                 for i, k, e, s in zip(full, entropy.argmin(axis=1), least, share):
                     best[i] = (models.langs[k], float(e), float(s))
             lengths = [len(text) for text in kept]
-            yield batch_of(_SCORES, [ids, folds, langs, lengths, *map(list, zip(*best))])
+            yield batch_of(_SCORES, [ids, digests, folds, langs, lengths, *map(list, zip(*best))])
 
     return run
 
@@ -249,15 +264,22 @@ def _levels(scored: DataFrame, langs: list[str]) -> DataFrame:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, entropy, rejected`` for every row.
+    """``doc_id, held_out, lang_pred, score, entropy, rejected`` and the text's ``digest`` for every row.
 
     ``lang_pred`` is a learned language, or ``und`` (score 0, rejected) where the text is NULL or
     has no letter, or nothing could be learned. Ties go to the first language by name. Whole texts
-    are scored. Repeated rows get equal answers. ``lang`` is used to train and calibrate only.
+    are scored. Repeated rows get equal answers. ``lang`` is used to train and calibrate only. A NULL id
+    counts as an empty one in its fold. An empty table gives no row; other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    key = row_key(docs)
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        key["digest"].alias("digest"),
+        F.col("text").cast("string").alias("text"),
+        F.col("lang").cast("string").alias("lang"),
+    )
     models = train(docs)
-    rows = docs.select("doc_id", fold(docs).alias("fold"), "lang", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", "digest", fold(docs).alias("fold"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     scored = stored(rows.mapInArrow(_score(models), _SCORES_DDL), "language-scores")
     spread = _levels(scored, models.langs)
     limit = F.col("level") + REJECT_SPREADS * F.col("spread") / F.sqrt(F.least("n_chars", F.lit(CALIBRATION_CHARS)))
@@ -269,4 +291,15 @@ def identify(docs: DataFrame) -> DataFrame:
         "score",
         "entropy",
         ((F.col("lang_pred") == UNKNOWN) | F.coalesce(F.col("entropy") > limit, F.lit(False))).alias("rejected"),
+        "digest",
     )
+
+
+def drop_unknown(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that :func:`identify` rejects; columns unchanged.
+
+    A row goes by its own text: another row of its id, or of a NULL id, does not take it along.
+    """
+    rejected = identify(docs).filter("rejected").select(F.struct("doc_id", "digest").alias("_rejected_key"))
+    rejected = counted_small(stored(rejected.distinct(), "rejected-rows"))
+    return docs.join(rejected, row_key(docs) == F.col("_rejected_key"), "left_anti")

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, id_and_text, slices, stored
+from lendlens.llm.common import batch_of, keep_one_row, row_key, slices, stored
 from lendlens.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -25,7 +25,7 @@ SEED = 42
 TILE = 1 << 14
 BLOCK = 256
 QUARTERS = [0xFFFF << shift for shift in (0, 16, 32, 48)]
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
+_PRINTS = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("print", pa.int64())])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _TILES = pa.schema([("low", pa.int32()), ("high", pa.int32()), ("prints", pa.binary())])
 
@@ -56,14 +56,16 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, print`` for every row; a NULL or empty text has print 0."""
+    """``doc_id, digest, print`` for every row; a NULL or empty text has print 0."""
 
     def run(batches):
         for batch in slices(batches):
-            ids, texts = (column.to_pylist() for column in batch.columns)
-            yield batch_of(_PRINTS, [ids, [fingerprint(text, shingle_words) for text in texts]])
+            ids, digests, texts = (column.to_pylist() for column in batch.columns)
+            prints = [fingerprint(text, shingle_words) for text in texts]
+            yield batch_of(_PRINTS, [ids, digests, prints])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, print long")
+    rows = docs.select(row_key(docs).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.select("key.*", "text").mapInArrow(run, "doc_id long, digest binary, print long")
 
 
 def _tiles(distinct: DataFrame, tile: int) -> DataFrame:
@@ -188,10 +190,11 @@ def _links(pairs: DataFrame, radius: int) -> DataFrame:
 def near_groups(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, tile: int = TILE
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row.
+    """``doc_id, fingerprint, component_id``, and ``digest`` of the text and ``component``, for every row.
 
     The component is named by the smallest ``doc_id`` that can be reached over fingerprints
-    differing in at most ``radius`` bits (NULL ids do not name one). NULL and empty texts have
+    differing in at most ``radius`` bits (NULL ids do not name one); ``component`` is its least
+    fingerprint, which tells components apart where ids repeat. NULL and empty texts have
     fingerprint zero and are linked like any other; repeated rows share fingerprint and component.
     """
     prints = stored(fingerprints(docs, shingle_words), "prints")
@@ -203,9 +206,28 @@ def near_groups(
     )
     rooted = stored(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(rooted.join(stored(least, "least-ids"), "root").select("print", "component_id"), "named")
-    return prints.join(named, "print").select(
+    least = stored(least, "least-ids")
+    named = rooted.join(least, "root").select("print", F.col("root").alias("component"), "component_id")
+    return prints.join(stored(named, "named"), "print").select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "digest",
+        "component",
     )
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """One row of each component, that with the smallest id (NULL last, equal ids by digest); columns unchanged.
+
+    Rows are told apart by id and text, so texts that share an id, or have none, are each judged by themselves.
+    """
+    key = F.struct("doc_id", "digest").alias("key")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    groups = near_groups(docs).groupBy("component", "doc_id", "digest").agg(F.count("*").alias("copies"))
+    groups = stored(groups, "near-groups")
+    first = groups.groupBy("component").agg(F.min(order).alias("first"))
+    chosen = groups.join(stored(first, "near-firsts"), "component").filter(
+        (F.col("digest") == F.col("first.digest")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    )
+    return keep_one_row(docs, stored(chosen.select(key, "copies"), "near-kept"))
