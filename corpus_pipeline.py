@@ -1,7 +1,8 @@
 """The corpus pipeline: stages that clean ``documents`` and end in token ids.
 
 Each stage works on all that its predecessor kept. The first four return the columns of their
-input; the last returns a row of token ids per document.
+input; the last returns a row of token ids per document. A row is judged by its own text: rows that
+share an id, or have none, do not take each other along. Empty tables pass, and so do other columns.
 """
 
 from __future__ import annotations
@@ -11,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm import block_naming, bpe, decontaminate, language_id, simhash
-from lendlens.llm.common import keep_rows, stored, table
+from lendlens.llm.common import stored, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that language ID rejects."""
-    return keep_rows(docs, language_id.identify(docs).filter(~F.col("rejected")))
+    return language_id.drop_unknown(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +29,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group, that with the smallest id."""
-    groups = simhash.near_groups(docs)
-    return keep_rows(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return simhash.drop_near_copies(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
