@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -36,6 +37,58 @@ def test_secret_spans(spark, odd, none):
     assert secrets.secret_digests(none).collect() == []
 
 
+def brute_secrets(text):
+    """Base spans by one scan per kind, position by position."""
+    spans = []
+    head = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?(?=[A-Za-z0-9+/_.=-])", re.A)
+    runs = {
+        "assign": (head, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-", 8, False),
+        "access": (re.compile("AKIA(?=[A-Z0-9])"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, True),
+        "hex": (re.compile("(?=[0-9a-f])"), "0123456789abcdef", 32, True),
+    }
+    for place, (kind, (start, alphabet, least, whole)) in enumerate(runs.items()):
+        at = 0
+        while at < len(text):
+            found = start.match(text, at)
+            if not found:
+                at += 1
+                continue
+            end = found.end()
+            while end < len(text) and text[end] in alphabet:
+                end += 1
+            if end - (at if whole else found.end()) >= least:
+                spans.append((at, place, end, kind))
+            at = end
+    return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(spans)]
+
+
+def test_secrets_of_all_documents_equal_brute_force(spark, documents):
+    rng = np.random.default_rng(2)
+    pieces = ["token", "secret: ", "API_KEY=", "'", " ", "= ", "AKIA", "0123456789ABCDEF", "deadbeef" * 4, "é", "x", "eyJ", "."]
+    made = [(50_000 + i, "".join(rng.choice(pieces, 30))) for i in range(200)]
+    docs = documents + made
+    for row in secrets.secret_digests(frame(spark, docs)).collect():
+        base = brute_secrets(dict(docs)[row.doc_id] or "")
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(s.startswith(k) for s in base) for k in ("assign", "access", "hex")]
+        assert row.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+
+
+def test_a_long_run_of_token_starts_is_scanned_once():
+    rule = next(rule for rule in secrets.RULES if rule.kind == "web_token")
+    compiled = re.compile(rule.pattern, re.ASCII)
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF"
+    for text, spans in (
+        (token, [(0, len(token))]),
+        (f"eyJshort.{token}", [(9, 9 + len(token))]),
+        (f"eyJabcdefghij.{token}", [(0, 14 + len(token) - 15)]),
+        ("eyJ" * 3 + token, [(0, 9 + len(token))]),
+    ):
+        assert list(secrets.find_spans(text, rule, compiled)) == spans
+    start = time.perf_counter()
+    assert list(secrets.find_spans("eyJ" * 350_000, rule, compiled)) == []
+    assert time.perf_counter() - start < 1
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     path = scratch_dir(spark, "ledger-test")
     docs = frame(spark, [(1, "token=abcdefghij"), (2, "nothing")])
@@ -75,6 +128,22 @@ def test_base_phrases_and_notices(spark, odd, none, documents):
     assert licenses.scan_licenses(none).collect() == []
 
 
+def test_long_matches_chain_across_a_gap(spark):
+    words = [f"w{i}" for i in range(640)]
+    label = licenses.Template("long", tuple(words), False)
+    text = words[:300] + ["other", "words"] + words[320:620]
+    found = licenses.scan_words(text, licenses.Automaton([label]))
+    assert [(s["start"], s["end"], round(s["cover"], 4)) for s in found["spans"]] == [(0, 602, round(600 / 640, 4))]
+    table = spark.createDataFrame([("long", " ".join(words)), (None, "x y"), ("none", None)], "label string, text string")
+    templates = licenses.read_templates(table)
+    assert [t.label for t in templates if not t.base] == ["long"] and any(t.base for t in templates)
+    docs = frame(spark, [(1, " ".join(text)), (2, "mit license")])
+    rows = by_id(licenses.scan_licenses(docs, templates).collect())
+    assert (rows[1].labels, rows[2].labels) == ("long", "mit")
+    with pytest.raises(ValueError):
+        licenses.read_templates(table, most_words=10)
+
+
 def test_matching_statistics_equal_brute_force():
     rng = np.random.default_rng(0)
     templates = [licenses.Template(f"t{i}", tuple(rng.choice(list("abcd"), 12)), False) for i in range(4)]
@@ -125,6 +194,57 @@ def test_levels_of_languages_with_few_calibration_rows(spark):
     assert [r.level for r in alone] == [None, None]
 
 
+def test_models_equal_plain_kneser_ney():
+    texts = {"a": ["abra cadabra ", "bar abba "], "b": ["cab dad "]}
+    raw = {lang: {} for lang in texts}
+    for lang, own in texts.items():
+        for text in own:
+            padded = "   " + text
+            for i in range(len(text)):
+                raw[lang][padded[i : i + 4]] = raw[lang].get(padded[i : i + 4], 0) + 1
+    models = language_id.Models([(lang, gram, n) for lang in raw for gram, n in raw[lang].items()])
+    floor = 1 / (len({gram[-1] for grams in raw.values() for gram in grams}) + 1)
+
+    def probability(gram, counts):
+        if not gram:
+            return floor
+        lower = {}
+        for longer in counts:
+            lower[longer[1:]] = lower.get(longer[1:], 0) + 1
+        below = probability(gram[1:], lower)
+        context = [n for other, n in counts.items() if other[:-1] == gram[:-1]]
+        if not context:
+            return below
+        rest = language_id.DISCOUNT * len(context) / sum(context)
+        return max(counts.get(gram, 0) - language_id.DISCOUNT, 0) / sum(context) + rest * below
+
+    for text in ("abba dab ", "zab ", "c "):
+        padded = "   " + text
+        wanted = [
+            -sum(np.log(probability(padded[i : i + 4], raw[lang])) for i in range(len(text))) / len(text)
+            for lang in models.langs
+        ]
+        assert models.entropies([text])[0] == pytest.approx(wanted, rel=1e-5)
+
+
+def test_a_large_language_is_sampled(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "FIT_CHARS", 2_000)
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 < 2]
+    rows = [(i, f"{'abcdefghij'[i % 10]} word{'x' * (i % 7)} ", "big") for i in ids] + [(ids[0], "few words ", "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    size = sum(len(text) for _, text, lang in rows if lang == "big")
+    seen = {"n": 0}
+    models = language_id.Models
+
+    def spying(grams):
+        seen["n"] = sum(n for lang, _, n in grams if lang == "big")
+        return models(grams)
+
+    monkeypatch.setattr(language_id, "Models", spying)
+    assert language_id.train(docs).langs == ["big", "small"]
+    assert 500 < seen["n"] < 5_000 < size
+
+
 def test_model_probabilities_sum_to_one():
     counts = language_id._count([])
     assert list(counts) == []
@@ -188,6 +308,30 @@ def test_chat_of_no_rows(spark):
     assert chat_tree.chat_digests(empty).collect() == []
 
 
+def test_short_items_and_items_in_capitals(spark):
+    benchmark = spark.createDataFrame(
+        [(1, "Answer"), (2, "the answer"), (3, "Paris is big"), (4, "ALL WORDS OF THIS ITEM ARE SHOUTED")],
+        "item_id long, text string",
+    )
+    docs = [(1, "the Answer is no, Paris is big"), (2, "THE ANSWER"), (3, "all words of this item are shouted"), (4, "rome is big"), (5, "All Words Of This Item Are Shouted")]
+    rows = decontaminate.find_contaminated(frame(spark, docs), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 3), (3, 4), (5, 4)}
+    rows = decontaminate.find_contaminated(frame(spark, docs), benchmark, least_words=1).collect()
+    assert {(1, 1), (1, 2), (2, 1), (2, 2)} <= {(r.doc_id, r.item_id) for r in rows}
+
+
+def test_every_text_of_an_id_is_searched_and_documents_are_read_once(spark):
+    benchmark = spark.createDataFrame([(1, ITEM, 1, "x")], "item_id long, text string, width int, key string")
+    docs = frame(spark, [(1, "nothing to see"), (1, ITEM), (1, ITEM), (None, "nothing"), (None, ITEM)])
+    rows = decontaminate.find_contaminated(docs, benchmark).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in rows), key=str) == [(1, 1), (None, 1)]
+    words = docs.select(decontaminate.row_key(docs).alias("key"), "text")
+    items = decontaminate._item_windows(benchmark, 3)
+    plan = decontaminate._candidates(words, items, [5], 0.8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1  # no second, filtering copy of the windows
+    assert "Python" not in plan and "BroadcastHashJoin" in plan
+
+
 ITEM = "a train left the old station with 40 boxes for Anna and after 3 hours Anna had 40 boxes more than planned"
 
 
