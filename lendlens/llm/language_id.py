@@ -29,9 +29,10 @@ UNKNOWN = "und"
 FLUSH_GRAMS = 500_000
 FIT_CHARS = 10_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-# All that is not a letter; \w has numbers such as one half or a circled two, which are no letters.
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# What the pattern above leaves beside letters: numbers such as one half or a circled two.
 _OTHER_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_OTHER_NUMBERS}]+")
+_OTHER_NUMBERS = re.compile(f"[ {_OTHER_NUMBERS}]+")
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
 _SCORES = pa.schema(
     [
@@ -54,6 +55,8 @@ _SCORES_DDL = (
 def letters(text: str | None) -> str:
     """Lower-case letters with one space around each word; empty if there is no letter."""
     kept = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    if not kept.replace(" ", "").isalpha():  # in few texts
+        kept = _OTHER_NUMBERS.sub(" ", kept).strip()
     return f"{kept} " if kept else ""
 
 
