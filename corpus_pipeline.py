@@ -40,7 +40,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` and the digest of the text decoded from the ids."""
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decoded = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return decoded.select("doc_id", "n_tokens", "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

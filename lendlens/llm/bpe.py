@@ -177,6 +177,15 @@ def _assemble(batches):
             yield batch_of(_ENCODED, [doc_ids, [len(ids) // 4 for ids in bodies], bodies])
 
 
+def _ordered_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """Packed rows by chunk: its encoded words, then its texts as word numbers."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = id_and_text(docs).mapInArrow(_cut(pattern, buckets), _PACKED_DDL)
+    by_word = cut.repartition("bucket").sortWithinPartitions("bucket", "kind")
+    encoded = stored(by_word.mapInArrow(_encode_words(ranks, pattern), _PACKED_DDL), "word-ids")
+    return encoded.repartition("chunk").sortWithinPartitions("chunk", "kind")
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` for every row; ids are little-endian unsigned 32-bit integers.
 
@@ -185,22 +194,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     ``CHUNK_TOKENS`` positions. There are as many word buckets as shuffle partitions, so both grow
     with the input; a bucket is read row by row, and holds its distinct words only.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = id_and_text(docs).mapInArrow(_cut(pattern, buckets), _PACKED_DDL)
-    by_word = cut.repartition("bucket").sortWithinPartitions("bucket", "kind")
-    encoded = stored(by_word.mapInArrow(_encode_words(ranks, pattern), _PACKED_DDL), "word-ids")
-    ordered = encoded.repartition("chunk").sortWithinPartitions("chunk", "kind")
+    ordered = _ordered_words(docs, ranks, pattern)
     return ordered.mapInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """The rows of ``encode`` with the decoded ``bytes``."""
-    size = max(ranks.values()) + 1
-    table = [b""] * size
+def _decode(ranks: dict[bytes, int]):
+    table = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    flat = np.frombuffer(b"".join(table), np.uint8)
-    pieces = Pieces(flat, np.array([len(token) for token in table]))
+    pieces = Pieces(np.frombuffer(b"".join(table), np.uint8), np.array([len(token) for token in table]))
     schema = pa.schema([*_ENCODED, ("bytes", pa.binary())])
 
     def run(batches):
@@ -209,14 +211,27 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             texts = [pieces.gather(np.frombuffer(body, "<u4")).tobytes() for body in bodies]
             yield batch_of(schema, [ids, counts, bodies, texts])
 
-    ddl = "doc_id long, n_tokens long, ids binary, bytes binary"
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, ddl)
+    return run
+
+
+_DECODED_DDL = "doc_id long, n_tokens long, ids binary, bytes binary"
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """The rows of ``encode`` with the decoded ``bytes``."""
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(_decode(ranks), _DECODED_DDL)
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """``decode`` of ``encode``; one Python worker of a task does both, a batch at a time."""
+    decoded = _decode(ranks)
+    ordered = _ordered_words(docs, ranks, pattern)
+    return ordered.mapInArrow(lambda batches: decoded(_assemble(batches)), _DECODED_DDL)
 
 
 def token_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """Token count and digests of ids and decoded bytes, per document."""
-    decoded = decode(encode(docs, ranks, pattern), ranks)
-    return decoded.select(
+    return round_trip(docs, ranks, pattern).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -398,3 +398,13 @@ def test_bpe_equals_the_library(spark, none, documents, monkeypatch):
     found = sorted((r.doc_id or -1, bytes(r.bytes), np.frombuffer(r.ids, "<u4").tolist()) for r in rows)
     assert found == sorted((i or -1, (t or "").encode(), whole.encode_ordinary(t or "")) for i, t in docs)
     assert bpe.encode(none, ranks, pattern).collect() == []
+
+def test_round_trip_takes_one_python_worker_a_task(spark, odd):
+    """Two Python steps in one stage would hold two workers for each task at the same time."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    both = bpe.round_trip(odd, ranks, public_tokenizers.PATTERN)
+    digests = bpe.token_digests(odd, ranks, public_tokenizers.PATTERN)
+    for df in (both, digests):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    apart = bpe.decode(bpe.encode(odd, ranks, public_tokenizers.PATTERN), ranks)
+    assert both.exceptAll(apart).isEmpty() and apart.exceptAll(both).isEmpty()
