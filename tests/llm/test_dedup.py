@@ -237,6 +237,43 @@ def test_passages_with_changed_words_are_found(spark):
     assert len(found & set(wanted)) >= 0.95 * len(wanted) and found <= set(wanted)
 
 
+def test_no_pair_of_passages_is_left_out(spark):
+    """Two unlike versions do not take each other's place; 40 of 50 words suffice wherever the edits are."""
+    rng = np.random.default_rng(9)
+
+    def words(n):
+        return [f"w{w}" for w in rng.integers(0, 10**6, n)]
+
+    base, around = words(60), lambda own: " ".join(words(30) + own + words(30))
+    left = [f"l{i}" if i % 12 in (0, 6) else w for i, w in enumerate(base)]
+    right = [f"r{i}" if i % 12 in (3, 9) else w for i, w in enumerate(base)]
+    fifth = words(50)
+    late = words(50)
+    docs = [(1, around(left)), (2, around(right)), (3, around(base)), (4, around(fifth)), (6, around(late))]
+    docs.append((5, around([f"e{i}" if i % 5 == 4 else w for i, w in enumerate(fifth)])))
+    docs.append((7, around([f"e{i}" if i < 40 and i % 4 == 0 else w for i, w in enumerate(late)])))
+    docs.append((8, docs[2][1]))
+    found = {(r.doc_id, r.ref_doc_id) for r in passages.find_passages(frame(spark, docs)).collect()}
+    assert found == {(3, 1), (3, 2), (5, 4), (7, 6), (8, 3)}
+
+
+def test_rounds_go_on_until_no_seed_has_a_further_document(spark, monkeypatch):
+    """The pair is the last of owners of its halves, and the rounds before find nothing."""
+    monkeypatch.setattr(passages, "OWNERS", 2)
+    rng = np.random.default_rng(10)
+
+    def words(n):
+        return [f"w{w}" for w in rng.integers(0, 10**6, n)]
+
+    passage = words(60)
+    halves = [passage[:30], passage[26:]]
+    docs = [(i, " ".join(words(30) + halves[i % 2] + words(30))) for i in range(24)]
+    edited = [f"e{i}" if i % 15 == 7 else w for i, w in enumerate(passage)]
+    docs += [(100, " ".join(words(30) + passage + words(30))), (101, " ".join(words(30) + edited + words(30)))]
+    found = {(r.doc_id, r.ref_doc_id) for r in passages.find_passages(frame(spark, docs)).collect()}
+    assert found == {(101, 100)}
+
+
 def test_passages_of_odd_rows(odd, none):
     assert passages.find_passages(odd).collect() == []
     assert passages.find_passages(none).collect() == []
