@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -125,6 +126,30 @@ def test_previous_factors_of_odd_rows(odd, none):
     assert suffixes.remove_repeats(none).collect() == []
 
 
+def test_runs_are_matched_bucket_by_bucket():
+    line, read, rows = "the same words in every one of these texts " * 4, [], []
+    for first in (0, 50):  # two batches, the second one with other beginnings
+        docs = [[*range(first, first + 20)], [f"{i * 7919} {line}{i}" for i in range(first, first + 20)]]
+        rows += suffixes._seed_rows(3)([pa.RecordBatch.from_pydict({"rank": docs[0], "text": docs[1]})])
+    rows.sort(key=lambda batch: batch.column(0)[0].as_py())
+
+    def one_by_one():
+        for batch in rows:
+            read.extend(batch.filter(batch.column(1).is_valid()).column(0).to_pylist())
+            yield batch
+
+    def matched(batches):
+        return {row for batch in suffixes._match_runs(batches) for row in zip(*(c.to_pylist() for c in batch.columns))}
+
+    read_before = []
+    for batch in suffixes._match_runs(one_by_one()):
+        if suffixes.REQUEST in batch.column(0).to_pylist():
+            read_before.append(set(read))
+    assert set(read) == {0, 1, 2} and len(read_before[0]) < 3  # not all buckets are held at once
+    by_bucket = [[b for b in rows if b.column(0)[0].as_py() == bucket] for bucket in range(3)]
+    assert matched(rows) == set().union(*map(matched, by_bucket))
+
+
 def test_factor_array():
     #  suffix order: documents 2 1 3 1, neighbours share 5 7 2
     assert suffixes.previous_factors([2, 1, 3, 1], [0, 5, 7, 2]).tolist() == [5, 0, 7, 0]
