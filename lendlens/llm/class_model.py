@@ -39,6 +39,7 @@ SMOOTHING = float(CLASSES)
 CHUNK_TOKENS = 2_500_000
 SLICE_BYTES = 2_000_000
 GAIN_ROWS = 50_000
+COUNTED_WORDS = 1 << 15
 # The fold that is held out of training.
 FOLDS, HELD_OUT = 7, 2
 END = b""
@@ -200,23 +201,38 @@ def _pairs(text: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(held, lengths.astype(np.int64)), found, np.concatenate([found[-1:], found[:-1]])
 
 
+def counted(centre: np.ndarray, classes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells (word times ``CLASSES`` plus its neighbour's class) that occur, sorted, and how often.
+
+    ``COUNTED_WORDS`` words are counted at a time, as a counter for each cell of a chunk's words would be too large.
+    """
+    keys, counts = [], []
+    for start in range(0, words, COUNTED_WORDS):
+        own = (centre >= start) & (centre < start + COUNTED_WORDS)
+        cells = np.bincount((centre[own] - np.uint32(start)) * np.uint32(CLASSES) + classes[own])
+        keys.append(np.flatnonzero(cells))
+        counts.append(cells[keys[-1]].astype(np.uint32))
+        keys[-1] += start * CLASSES
+    return np.concatenate(keys), np.concatenate(counts)
+
+
 def _count(batches):
     """Class bigrams of a chunk, and for words that may move their neighbours' classes, by bucket."""
     for chunk, (marked, own, buckets), text in _chunks(batches):
         held, word, before = _pairs(text)
         word, before = word[held == 0], before[held == 0]
-        classes, moves = (marked % CLASSES).astype(np.int64), marked >= CLASSES
-        cells = np.bincount(classes[before] * CLASSES + classes[word], minlength=CLASSES * CLASSES)
+        classes, moves = marked % np.uint8(CLASSES), marked >= CLASSES
+        pairs = classes[before].astype(np.uint16) * np.uint16(CLASSES) + classes[word]
+        cells = np.bincount(pairs, minlength=CLASSES * CLASSES)
+        del held, pairs, text
         yield batch_of(_COUNTED, [[chunk], [CELLS], [0], [None], [cells.tolist()]])
         sides = []
         for side, (centre, neighbour) in enumerate(((word, before), (before, word))):
             kept = moves[centre]
-            keys = centre[kept].astype(np.int64) * CLASSES + classes[neighbour[kept]]
-            counts = np.bincount(keys)
-            keys = np.flatnonzero(counts)
+            keys, counts = counted(centre[kept], classes[neighbour[kept]], len(moves))
             code = keys // CLASSES
             place = (side * CLASSES + keys % CLASSES).astype(np.uint8)
-            sides.append((buckets[code], own[code], place, counts[keys].astype(np.uint32)))
+            sides.append((buckets[code], own[code], place, counts))
         bucket, *columns = (np.concatenate(part) for part in zip(*sides))
         order = np.argsort(bucket, kind="stable")
         for members in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -131,6 +132,44 @@ def test_a_move_is_to_the_likeliest_class():
         assert value[best] >= max(value.values()) - 0.002 * abs(max(value.values()) - value[own[i]]) - 1
 
 
+def test_neighbours_are_counted_in_little_memory():
+    k, n, size = class_model.CLASSES, 200_000, 300_000
+    chance = np.random.default_rng(5)
+    found = np.concatenate([np.arange(n), chance.integers(0, 50, size - n)]).astype(np.uint32)
+    chance.shuffle(found)
+    lengths = np.full(3, size // 3)
+    held = np.array([0, 1, 0], np.uint8)
+    marked = (np.arange(n) % k + k * (np.arange(n) % 2)).astype(np.uint8)
+    codes = np.arange(n, dtype=np.uint32)
+    rows = [
+        class_model._row(7, class_model.CLASS, bucket, class_model.pack(*(c[bucket::2].copy() for c in (codes, marked, codes))))
+        for bucket in range(2)
+    ]
+    rows.append(class_model._row(7, class_model.TEXT, 0, class_model.pack(np.arange(3), held, lengths, found)))
+    tracemalloc.start()
+    counted = list(class_model._count(rows))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6  # a counter for each cell takes 102 MB
+
+    expected, cells, neighbours = np.repeat(held, lengths) == 0, Counter(), Counter()
+    for before, word in zip(np.roll(found, 1)[expected].tolist(), found[expected].tolist()):
+        cells[before % k * k + word % k] += 1
+        for centre, place in ((word, before % k), (before, k + word % k)):
+            if marked[centre] >= k:
+                neighbours[centre, place] += 1
+    got = Counter()
+    for batch in counted:
+        row = batch.to_pylist()[0]
+        if row["kind"] == class_model.CELLS:
+            assert {i: count for i, count in enumerate(row["cells"]) if count} == cells
+            continue
+        own, place, counts = class_model.unpack(row["body"])
+        assert (own % 2 == row["bucket"]).all()
+        got.update(dict(zip(zip(own.tolist(), place.tolist()), counts.tolist())))
+    assert got == neighbours
+
+
 def test_scores_of_no_rows_and_of_nothing_learned(spark, none):
     assert class_model.score_texts(none).collect() == []
     held = next(i for i in range(100) if is_held_out(i))
