@@ -299,6 +299,27 @@ def test_rounds_go_on_until_no_seed_has_a_further_document(spark, monkeypatch):
     assert found == {(101, 100)}
 
 
+def test_shares_of_a_round_hold_all_its_matches():
+    chance = np.random.default_rng(3)
+    seed, rank, place = (chance.integers(0, n, 4000).astype(np.uint64) for n in (5, 300, 1 << 33))
+    order = np.lexsort((place, rank, seed))
+    opened = (chance.random(4000) < 0.5).astype(np.uint8)
+    body = passages.pack(*(column[order] for column in (seed, rank, place)), opened)
+    rows = [pa.RecordBatch.from_pydict({"bucket": [0], "kind": [passages.GROUP], "body": [body]})]
+
+    def matches(turns, *share):
+        found = [batch.to_pylist() for batch in passages._later_matches(turns, *share)(rows)]
+        return [tuple(row.values()) for batch in found for row in batch]
+
+    for turns in (range(1, 5), range(5, 21), range(200, 500)):
+        whole, parts = matches(turns), [matches(turns, share, 3) for share in range(3)]
+        assert whole and sorted(whole) == sorted(sum(parts, []))
+        assert max(map(len, parts)) < len(whole) / 2
+        assert len({row[0] for row in whole}) == sum(len({row[0] for row in part}) for part in parts)
+        numbers = [n for batch in passages._match_numbers(turns)(rows) for n in batch.column(0).to_pylist()]
+        assert sum(numbers) == len(whole)
+
+
 def test_passages_of_odd_rows(odd, none):
     assert passages.find_passages(odd).collect() == []
     assert passages.find_passages(none).collect() == []
