@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, id_and_text, pack, slices, stored, unpack
+from lendlens.llm.common import batch_of, giving_back, id_and_text, pack, rows_of, slices, stored, unpack
 
 CHUNK_WORDS = 300_000
 CHUNK_TOKENS = 8_000_000
@@ -76,10 +76,12 @@ def _cut(pattern: str, buckets: int):
 
         for batch in slices(batches, most=SLICE_BYTES):
             ids, texts = (column.to_pylist() for column in batch.columns)
-            cut = [find(text) for text in texts]
+            cut = []
+            for text in texts:  # so that the words of one text only are held as strings
+                words = find(text)
+                cut.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
             lengths = np.fromiter(map(len, cut), np.int64, len(cut))
-            found = (numbers[word] for words in cut for word in words)
-            found = np.fromiter(found, np.uint32, int(lengths.sum()))
+            found = np.concatenate(cut)
             ids = np.array([NULL_ID if i is None else i for i in ids], np.int64)
             waiting.append((ids, lengths, found))
             tokens += len(found)
@@ -89,7 +91,7 @@ def _cut(pattern: str, buckets: int):
         if waiting:
             yield from rows() if tokens else _empty_rows(chunk, waiting)
 
-    return run
+    return giving_back(run)
 
 
 def _empty_rows(chunk: int, waiting: list):
@@ -115,7 +117,7 @@ def _encode_words(ranks: dict[bytes, int], pattern: str):
         known: dict[bytes, list[int]] = {}
         current = None
         for batch in batches:
-            for chunk, kind, bucket, body in zip(*(column.to_pylist() for column in batch.columns)):
+            for chunk, kind, bucket, body in rows_of(batch):
                 if kind == TEXT:
                     yield batch_of(_PACKED, [[chunk], [TEXT], [bucket], [body]])
                     continue
@@ -133,7 +135,7 @@ def _encode_words(ranks: dict[bytes, int], pattern: str):
                     _PACKED, [[chunk], [WORD], [bucket], [pack(numbers, counts, flat)]]
                 )
 
-    return run
+    return giving_back(run)
 
 
 class Pieces:
@@ -156,7 +158,7 @@ def _assemble(batches):
     """The encoded words of a chunk come first, then its texts."""
     chunk, parts, pieces = None, [], None
     for batch in batches:
-        for at, kind, _, body in zip(*(column.to_pylist() for column in batch.columns)):
+        for at, kind, _, body in rows_of(batch):
             if at != chunk:
                 chunk, parts, pieces = at, [], None
             if kind == WORD:
@@ -195,7 +197,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     with the input; a bucket is read row by row, and holds its distinct words only.
     """
     ordered = _ordered_words(docs, ranks, pattern)
-    return ordered.mapInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
+    return ordered.mapInArrow(giving_back(_assemble), "doc_id long, n_tokens long, ids binary")
 
 
 def _decode(ranks: dict[bytes, int]):
@@ -211,7 +213,7 @@ def _decode(ranks: dict[bytes, int]):
             texts = [pieces.gather(np.frombuffer(body, "<u4")).tobytes() for body in bodies]
             yield batch_of(schema, [ids, counts, bodies, texts])
 
-    return run
+    return giving_back(run)
 
 
 _DECODED_DDL = "doc_id long, n_tokens long, ids binary, bytes binary"

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, counted_small, row_key, slices, stored
+from lendlens.llm.common import batch_of, counted_small, giving_back, row_key, slices, stored
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -207,7 +207,7 @@ def train(docs: DataFrame) -> Models:
     sample = labelled.join(sizes, "lang").filter(drawn)
     counts = (
         sample.select("lang", "text")
-        .mapInArrow(_count, "lang string, gram string, n long")
+        .mapInArrow(giving_back(_count), "lang string, gram string, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -232,7 +232,7 @@ def _score(models: Models):
             lengths = [len(text) for text in kept]
             yield batch_of(_SCORES, [ids, digests, folds, langs, lengths, *map(list, zip(*best))])
 
-    return run
+    return giving_back(run)
 
 
 def _levels(scored: DataFrame, langs: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, keep_one_row, row_key, slices, stored
+from lendlens.llm.common import batch_of, giving_back, keep_one_row, row_key, slices, stored
 from lendlens.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
             yield batch_of(_PRINTS, [ids, digests, prints])
 
     rows = docs.select(row_key(docs).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.select("key.*", "text").mapInArrow(run, "doc_id long, digest binary, print long")
+    return rows.select("key.*", "text").mapInArrow(giving_back(run), "doc_id long, digest binary, print long")
 
 
 def _tiles(distinct: DataFrame, tile: int) -> DataFrame:
@@ -92,7 +92,7 @@ def _tiles(distinct: DataFrame, tile: int) -> DataFrame:
     ordered = distinct.select("print", *[key.alias(f"k{i}") for i, key in enumerate(keys)])
     ordered = ordered.repartitionByRange(*[f"k{i}" for i in range(len(keys))])
     ordered = ordered.sortWithinPartitions(*[f"k{i}" for i in range(len(keys))])
-    packed = ordered.select("print").mapInArrow(pack, "low int, high int, prints binary")
+    packed = ordered.select("print").mapInArrow(giving_back(pack), "low int, high int, prints binary")
     return stored(packed.withColumn("tile", F.monotonically_increasing_id()), "tiles")
 
 
@@ -184,7 +184,7 @@ def _links(pairs: DataFrame, radius: int) -> DataFrame:
                 )
                 yield batch_of(_EDGES, list(zip(*found)) or [[], []])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(giving_back(run), "a long, b long")
 
 
 def near_groups(

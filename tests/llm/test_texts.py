@@ -1,16 +1,20 @@
 """Secrets, licences, language ID, chat, decontamination and BPE."""
 
+import ctypes
 import hashlib
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from lendlens.llm import bpe, chat_tree, decontaminate, language_id, licenses, secrets
+from lendlens.llm.common import give_back, giving_back
 from lendlens.session import scratch_dir
 from tests.llm.conftest import ODD, SF_DIR, frame
 
@@ -399,6 +403,51 @@ def test_bpe_equals_the_library(spark, none, documents, monkeypatch):
     assert found == sorted((i or -1, (t or "").encode(), whole.encode_ordinary(t or "")) for i, t in docs)
     assert bpe.encode(none, ranks, pattern).collect() == []
 
+
+def _private_mb():
+    found = re.search(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())
+    return int(found[1]) / 1024
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs glibc")
+def test_workers_keep_no_freed_memory(spark):
+    """Freed blocks that lie between used ones stay with the process, unless they are given back."""
+
+    def run(batches):
+        for batch in batches:
+            blocks = [bytes([i % 256]) * 60_000 for i in range(4000)]
+            kept.append(blocks[::40])
+            del blocks
+            yield batch
+
+    kept = []
+    before = _private_mb()
+    assert list(run(iter([1]))) == [1]
+    held = _private_mb() - before
+    kept.clear()
+    give_back()
+    before = _private_mb()
+    assert list(giving_back(run)(iter([1]))) == [1]
+    assert held > 100 and _private_mb() - before < 50
+    for step in (bpe._cut("x", 2), bpe._encode_words({b"x": 0}, "x"), bpe._decode({b"x": 0}), language_id._score(None)):
+        assert step.__wrapped__
+
+
+def test_a_chunk_holds_the_words_of_one_text_as_strings(monkeypatch):
+    """A slice of many texts is cut text by text, not into one list of strings for all."""
+    monkeypatch.setattr(bpe.TaskContext, "get", classmethod(lambda cls: cls()))
+    monkeypatch.setattr(bpe.TaskContext, "partitionId", lambda self: 0)
+    texts = [" ".join(f"{i}" for i in range(n, n + 20_000)) for n in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40), pa.int64()), "text": texts})
+    tracemalloc.start()
+    rows = bpe._cut(r"\d+| ", 4)(iter([batch]))
+    while next(rows).column("kind")[0].as_py() != bpe.TEXT:
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40_000_000  # 40 texts of 40,000 words of over 50 bytes are over 80 MB
+
+
 def test_round_trip_takes_one_python_worker_a_task(spark, odd):
     """Two Python steps in one stage would hold two workers for each task at the same time."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
