@@ -199,16 +199,17 @@ def near_groups(
     """
     prints = stored(fingerprints(docs, shingle_words), "prints")
     groups = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")), "print-groups")
+    rows = groups.count()
     pairs = _tile_pairs(_tiles(groups.select("print"), tile), radius)
     roots = components(stored(_links(pairs, radius), "forests"))
     rooted = groups.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
-    rooted = stored(rooted, "rooted")
+    rooted = stored(rooted, "rooted", rows)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    least = stored(least, "least-ids")
+    least = stored(least, "least-ids", rows)
     named = rooted.join(least, "root").select("print", F.col("root").alias("component"), "component_id")
-    return prints.join(stored(named, "named"), "print").select(
+    return prints.join(stored(named, "named", rows), "print").select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lendlens.llm import block_naming, graph, passages, queries, seeds, simhash, suffixes
+from lendlens.llm.common import FILE_ROWS, LEAST_FILES, stored
 from tests.llm.conftest import ODD, SF_DIR, frame
 
 
@@ -95,6 +96,24 @@ def test_components_of_chain_and_star(spark, n):
     assert {r.node: r.root for r in found if r.node <= n} == {i: 0 for i in range(n + 1)}
 
 
+def test_small_tables_have_few_files(spark):
+    """Each file costs two processes on a local file system; a shuffle may have many partitions."""
+    wide = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in wide}
+    for key, value in wide.items():
+        spark.conf.set(key, value)
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(0, 3000, 2)], "a long, b long")
+        found = graph.components(edges)
+        assert found.count() == 3000
+        assert len(found.inputFiles()) <= LEAST_FILES
+        many = stored(edges.distinct(), "many", 20 * FILE_ROWS)
+        assert many.count() == 1500 and LEAST_FILES < len(many.inputFiles()) <= 20
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def brute_removed(docs, span=50):
     first, result = {}, {}
     for doc_id, text in sorted(docs):
