@@ -352,6 +352,34 @@ def test_chains_follow_both_orders():
     assert sorted(map(len, far)) == [1, 2]
 
 
+def test_rising_anchors_need_no_tree(monkeypatch):
+    rng = np.random.default_rng(5)
+    cases = []
+    for n in (1, 2, 30, 200):
+        x, y = (np.cumsum(rng.integers(1, most, n)).tolist() for most in (40, 160))
+        cases.append(list(zip(x, y)))
+    # one more place far back takes the way over the tree, and cannot change chains of the others
+    by_tree = [passages.chains([*case, (10**6, 0)]) for case in cases]
+    monkeypatch.setattr(passages.PrefixMaximum, "before", None)
+    monkeypatch.setattr(passages.PrefixMaximum, "put", None)
+    for case, found in zip(cases, by_tree):
+        assert sorted(passages.chains(case)) == sorted(path for path in found if path != [(10**6, 0)])
+
+
+def test_pairs_that_cannot_reach_enough_free_words_are_not_chained(monkeypatch):
+    calls = []
+    monkeypatch.setattr(passages, "chains", lambda anchors: calls.append(anchors) or [])
+    few, many = range(40, 40 + passages.LEAST_NEW - passages.SHINGLE), range(40, 41 + passages.LEAST_NEW - passages.SHINGLE)
+    covers = [(9, passages.COVER, 0, 0, 43), (8, passages.COVER, 0, 0, 43)]
+    matches = [(8, passages.MATCH, 1, at, at) for at in [*range(20, 40), *few]]
+    matches += [(9, passages.MATCH, 2, at, at) for at in [*range(20, 40), *many]]
+    matches += [(7, passages.MATCH, 1, at, at) for at in few]
+    rows = sorted(covers + matches)
+    assert list(passages._chain_rows(iter([passages.batch_of(passages._MATCHES, list(zip(*rows)))]))) == []
+    free = [sum(x + passages.SHINGLE > 43 for x, _ in anchors) for anchors in calls]
+    assert len(calls) == 2 and calls[0][0][0] == 40 and calls[1][0][0] == 20, free
+
+
 def test_query_equals_sql(spark):
     from harness import compare
 
