@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import batch_of, id_and_text, shuffles_removed, slices, stored
+from lendlens.llm.common import batch_of, few_files, id_and_text, shuffles_removed, slices, stored
 from lendlens.session import scratch_dir
 
 
@@ -104,7 +104,8 @@ def update_ledger(versions: DataFrame, path: str, rules: Sequence[Rule] = RULES)
     """Scan what the ledger at ``path`` lacks of ``versions`` (a ``text`` per row) and append it.
 
     A repeated run finds nothing left to scan. A failed run appends nothing, as its files are not
-    committed.
+    committed. All tasks scan; what they found is short and goes to few files, as each costs a local file system
+    two processes that set its mode.
     """
     spark = versions.sparkSession
     create_ledger(spark, path)
@@ -126,8 +127,9 @@ def update_ledger(versions: DataFrame, path: str, rules: Sequence[Rule] = RULES)
         .select("blob", "text", pending.alias("pending"))
         .filter(F.size("pending") > 0)
     )
+    scanned = unseen.mapInArrow(_scanner(rules), LEDGER).repartition(few_files(versions.count()))
     with shuffles_removed(spark):
-        unseen.mapInArrow(_scanner(rules), LEDGER).write.mode("append").parquet(path)
+        scanned.write.mode("append").parquet(path)
 
 
 def scan(docs: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -141,9 +143,8 @@ def scan(docs: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) -> DataFra
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
     kinds = F.create_map(*[x for r in rules for x in (F.lit(r.key), F.lit(r.kind))])
     current = [rule.key for rule in rules]
-    of_blob = read_ledger(docs.sparkSession, ledger).groupBy("blob").agg(
-        F.flatten(F.collect_list("spans")).alias("spans")
-    )
+    seen = read_ledger(docs.sparkSession, ledger)
+    of_blob = seen.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = F.transform(
         F.array_sort(
             F.transform(
@@ -158,7 +159,7 @@ def scan(docs: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) -> DataFra
         ),
         lambda s: F.struct(kinds[s["rule"]].alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
     )
-    findings = stored(of_blob.select("blob", spans.alias("spans")), "findings")
+    findings = stored(of_blob.select("blob", spans.alias("spans")), "findings", seen.count())
     paths = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("blob"))
     return paths.join(findings, "blob").select("doc_id", "spans")
 
@@ -167,7 +168,7 @@ def secret_digests(docs: DataFrame) -> DataFrame:
     """Counts, digest and span list per document, scanned with a new ledger.
 
     NULL and empty texts have counts of 0 and the digest of an empty text. Repeated rows and NULL ids each
-    give a row; an empty table gives none.
+    give a row; an empty table gives none. The rows are short and dealt to few partitions.
     """
     found = scan(docs, scratch_dir(docs.sparkSession, "blob-ledger"))
     base = [rule.kind for rule in BASE_RULES]
@@ -184,4 +185,4 @@ def secret_digests(docs: DataFrame) -> DataFrame:
         *[count(kind).alias(f"n_{kind}") for kind in base],
         F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
-    )
+    ).repartition(few_files(docs.count()))

@@ -14,7 +14,7 @@ import pytest
 import tiktoken
 
 from lendlens.llm import bpe, chat_tree, decontaminate, language_id, licenses, secrets
-from lendlens.llm.common import give_back, giving_back
+from lendlens.llm.common import LEAST_FILES, give_back, giving_back
 from lendlens.session import scratch_dir
 from tests.llm.conftest import ODD, SF_DIR, frame
 
@@ -106,6 +106,25 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert [s.kind for s in found[1].spans] == ["assign"]
 
 
+def test_short_findings_go_to_few_files(spark):
+    docs = frame(spark, [(i, f"token=abcdefgh{i}") for i in range(400)]).repartition(40)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        ledger = scratch_dir(spark, "few-files")
+        secrets.update_ledger(docs, ledger)
+        assert len(secrets.read_ledger(spark, ledger).inputFiles()) <= LEAST_FILES + 1  # and that of the empty ledger
+        digests = secrets.secret_digests(docs)
+        assert digests.rdd.getNumPartitions() <= LEAST_FILES
+        assert {row.n_assign for row in digests.collect()} == {1}
+        assert digests.count() == 400
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def brute_base(words):
     return [
         (i, label)
