@@ -380,6 +380,54 @@ def test_pairs_that_cannot_reach_enough_free_words_are_not_chained(monkeypatch):
     assert len(calls) == 2 and calls[0][0][0] == 40 and calls[1][0][0] == 20, free
 
 
+def test_chains_of_a_common_line_alone_are_not_aligned(monkeypatch):
+    """Too few equal words along one run of equal words: no passage, whatever the alignment."""
+    rng, calls, rows, wanted = np.random.default_rng(12), [], [], []
+    align = passages.align
+    monkeypatch.setattr(passages, "align", lambda *args: calls.append(args) or align(*args))
+    for chain, line in enumerate([13, 20, 36, 39, 40, 44, 60] * 20):
+        left, right = rng.integers(0, 60, (2, 160), np.uint32)
+        start, shift = (int(n) for n in rng.integers(20, 60, 2))
+        right[start + shift - 20 : start + shift - 20 + line] = left[start : start + line]
+        line = min(line, 160 - start, 180 - start - shift)
+        places = [*range(start, start + line - passages.SHINGLE + 1, passages.SHINGLE), start + line - passages.SHINGLE]
+        anchors = sorted({(at, at + shift - 20) for at in places})
+        found = align(left, right, anchors)
+        wanted += [(chain, *stretch) for stretch in found]
+        body = np.array(anchors, "<u4").tobytes()
+        rows += [(chain, 0, chain, 0, left.tobytes(), body), (chain, 1, 1000, 0, right.tobytes(), None)]
+    batch = passages.batch_of(passages._EXCERPT, list(zip(*rows)))
+    found = [row for out in passages._align_rows(iter([batch])) for row in out.to_pylist()]
+    got = [(r["rank"], r["start_word"], r["end_word"], r["ref_start"], r["ref_end"], r["n_equal"]) for r in found]
+    assert got == wanted and {0, 1} & {row[0] % 7 for row in wanted} == set()
+    assert len({row[0] for row in wanted}) <= len(calls) <= 100  # all but the lines of 13 and 20 words, of 140 chains
+
+
+def test_packed_matches_give_the_same_chains():
+    rng = np.random.default_rng(13)
+    n = 3000
+    rank, ref = rng.integers(50, 80, n), rng.integers(0, 5, n)
+    at = rng.integers(0, 400, n)
+    matches = np.stack([rank, ref, at, at + 3 * ref], axis=1)
+    covers = np.array([(r, 10 * (r % 7), 10 * (r % 7) + 60) for r in range(40, 70)])
+    rows = [(r, passages.COVER, 0, s, e) for r, s, e in covers.tolist()]
+    rows += [(r, passages.MATCH, *rest) for r, *rest in matches.tolist()]
+    plain = passages._chain_rows(iter([passages.batch_of(passages._MATCHES, list(zip(*sorted(rows, key=lambda r: r[:2]))))]))
+
+    def packed(buckets):
+        frame = pa.RecordBatch.from_pydict(dict(zip(("rank", "start_word", "end_word"), covers.T.copy())))
+        own = [*passages._packed_covers(buckets)([frame])]
+        own += passages._packed_matches(lambda batches: passages._match_batches(matches), buckets)([])
+        rows = [tuple(row.values()) for batch in own for row in batch.to_pylist()]
+        return passages.batch_of(passages._PACKED, list(zip(*sorted(rows, key=lambda r: r[:2]))))
+
+    wanted = sorted(tuple(row.values()) for batch in plain for row in batch.to_pylist())
+    assert wanted
+    for buckets in (1, 4):
+        chained = passages._packed_chain_rows(iter([packed(buckets)]))
+        assert sorted(tuple(row.values()) for batch in chained for row in batch.to_pylist()) == wanted
+
+
 def test_query_equals_sql(spark):
     from harness import compare
 
