@@ -339,6 +339,100 @@ def test_shares_of_a_round_hold_all_its_matches():
         assert sum(numbers) == len(whole)
 
 
+def test_all_pairs_of_a_passage_with_many_owners_are_found(spark):
+    """More owners than ``OWNERS``, so no seed of the passage is rare; each has other words changed."""
+    rng = np.random.default_rng(14)
+    n = passages.OWNERS + 6
+
+    def words(n):
+        return [f"w{w}" for w in rng.integers(0, 10**6, n)]
+
+    base, docs = words(70), []
+    for i in range(n):
+        own = list(base)
+        for at in rng.choice(70, 3, replace=False):
+            own[at] = f"e{i}x{at}"
+        if i % 3 == 2:
+            del own[35]
+        docs.append((i, " ".join(words(20 + i % 5) + own + words(20))))
+    line = words(13)
+    docs += [(1000 + i, " ".join(words(40) + line + words(40))) for i in range(n)]
+    found = {(r.doc_id, r.ref_doc_id) for r in passages.find_passages(frame(spark, docs)).collect()}
+    assert found == {(i, j) for i in range(n) for j in range(i)}
+
+
+def test_frequent_and_rare_seeds_find_the_same(spark, monkeypatch):
+    """Which seeds count as frequent decides how pairs are found, not which."""
+    rng = np.random.default_rng(15)
+
+    def words(n, most=10**6):
+        return [f"w{w}" for w in rng.integers(0, most, n)]
+
+    lines, docs = [words(n) for n in (6, 9, 13, 13, 20, 30)], []
+    for i in range(150):
+        own = []
+        for _ in range(rng.integers(1, 6)):
+            own += words(rng.integers(0, 30)) + words(rng.integers(0, 40), 4) + lines[rng.integers(0, 6)]
+        docs.append((i, own))
+    for i in range(150):  # changed, cut and joined anew
+        own = []
+        for _ in range(2):
+            other = docs[rng.integers(0, 150)][1]
+            start = rng.integers(0, max(len(other) - 50, 1))
+            part = other[start : start + rng.integers(40, 120)]
+            for at in rng.integers(0, max(len(part), 1), len(part) // 8):
+                part[at : at + 1] = [[], [f"c{i}x{at}"], [f"c{i}x{at}", part[at] if at < len(part) else "c"]][rng.integers(0, 3)]
+            own += part
+        docs.append((200 + i, own))
+    docs = frame(spark, [(i, " ".join(own)) for i, own in docs])
+    found = {}
+    for most in (1, 8, 10**6):
+        monkeypatch.setattr(passages, "OWNERS", most)
+        found[most] = {(r.doc_id, r.ref_doc_id) for r in passages.find_passages(docs).collect()}
+    assert found[1] == found[8] == found[10**6] and len(found[1]) > 150
+
+
+def test_matches_of_frequent_seeds_are_those_of_all_pairs():
+    """Places repeat within documents and lie next to each other; the first match of each run is a head."""
+    rng = np.random.default_rng(16)
+    texts = [[*rng.integers(2, 5, rng.integers(4, 40)).tolist()] for _ in range(30)]
+    buckets, blocks = 6, 3
+    words = [np.array(text, "<u4") << 24 for text in texts]
+    rows = [(i, i % 2 << 32, body.tobytes()) for i, body in enumerate(words)]
+    batch = passages.batch_of(passages._WORDS_OF, list(zip(*rows)))
+
+    def by_bucket(*batches):
+        rows = [tuple(row.values()) for batch in batches for row in batch.to_pylist()]
+        return iter([passages.batch_of(passages._PACKED, list(zip(*sorted(rows, key=lambda row: row[:2]))))])
+
+    groups = [*passages._group_rows(by_bucket(*passages._seed_rows(buckets)([batch])))]
+    pairs = [m for b in passages._first_matches(100)(groups) for m in zip(*(c.to_pylist() for c in b.columns))]
+    wanted = {(rank, ref, place, ref_place) for rank, _, ref, place, ref_place in pairs}
+    known = [*passages._occurrences(buckets, 1)(groups), *passages._byte_rows(buckets)([batch])]
+    found, heads, tasks = [], {}, 0
+    for task, own in passages._by_bucket(by_bucket(*passages._context_rows(blocks, buckets)(by_bucket(*known)))):
+        parts = [passages.unpack(body) for _, body in own]
+        one, other = divmod(task, blocks)
+
+        def block_of(rank):
+            return passages._bucket(passages.mixed(rank.astype(np.uint64)), buckets) * blocks // buckets
+
+        seeds, tasks = passages.FrequentSeeds(parts, block_of, one, other), tasks + 1
+        n = len(seeds.documents)
+        block = block_of(seeds.documents)
+        every = np.array([i * n + j for i in range(n) for j in range(i) if {block[i], block[j]} == {one, other}], np.int64)
+        found += map(tuple, seeds.matches(every).tolist())
+        for left, right, equal in seeds.heads(np.flatnonzero(seeds.number)):
+            for i, j, own in zip(left.tolist(), right.tolist(), equal.tolist()):
+                heads[tuple(int(v) for v in (seeds.rank[i], seeds.rank[j], seeds.place[i], seeds.place[j]))] = own
+    assert tasks > 1 and len(found) == len(set(found)) and set(found) == wanted
+    first = {m for m in wanted if (m[0], m[1], m[2] - 1, m[3] - 1) not in wanted}
+    assert first <= set(heads) <= wanted and len(heads) < len(wanted)
+    for (rank, ref, place, ref_place), equal in heads.items():
+        left, right, x, y = texts[rank], texts[ref], place & passages.LOW, ref_place & passages.LOW
+        assert equal == sum(left[x + k] == right[y + k] for k in range(-min(x, y), min(len(left) - x, len(right) - y)))
+
+
 def test_passages_of_odd_rows(odd, none):
     assert passages.find_passages(odd).collect() == []
     assert passages.find_passages(none).collect() == []
