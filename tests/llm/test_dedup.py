@@ -342,7 +342,7 @@ def test_shares_of_a_round_hold_all_its_matches():
 def test_all_pairs_of_a_passage_with_many_owners_are_found(spark):
     """More owners than ``OWNERS``, so no seed of the passage is rare; each has other words changed."""
     rng = np.random.default_rng(14)
-    n = passages.OWNERS + 6
+    n = 2 * passages.OWNERS
 
     def words(n):
         return [f"w{w}" for w in rng.integers(0, 10**6, n)]
