@@ -522,6 +522,25 @@ def test_packed_matches_give_the_same_chains():
         assert sorted(tuple(row.values()) for batch in chained for row in batch.to_pylist()) == wanted
 
 
+def test_chains_of_all_documents_at_once_are_the_same(monkeypatch):
+    rng = np.random.default_rng(17)
+    n = 4000
+    rank, ref = rng.integers(50, 90, n), rng.integers(0, 5, n)
+    at, shift = rng.integers(0, 600, n), 7 * ref + rng.integers(0, 2, n) * rng.integers(-9, 40, n)
+    matches = np.stack([rank, ref, at + (rank % 2 << 32), at + shift + 50 + (ref % 2 << 32)], axis=1)
+    runs = [matches[:300] + [0, 0, k, k] for k in range(30)]
+    matches = np.unique(np.concatenate([matches, *runs]), axis=0)
+    kind = np.full(len(matches), passages.MATCH)
+    batch = passages.batch_of(passages._MATCHES, [matches[:, 0], kind, *matches[:, 1:].T])
+    wanted = sorted(tuple(row.values()) for out in passages._chain_rows(iter([batch])) for row in out.to_pylist())
+    calls, chains = [], passages.chains
+    monkeypatch.setattr(passages, "chains", lambda anchors: calls.append(anchors) or chains(anchors))
+    found = [tuple(row.values()) for out in passages._pair_chains(rng.permutation(matches)) for row in out.to_pylist()]
+    assert sorted(found) == wanted and wanted
+    few = [tuple(row.values()) for out in passages._pair_chains(matches, lambda rank, *_: np.zeros(len(rank))) for row in out.to_pylist()]
+    assert set(few) < set(wanted)
+
+
 def test_query_equals_sql(spark):
     from harness import compare
 
